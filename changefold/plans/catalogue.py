@@ -55,3 +55,176 @@ def _kpi(name: str, fn):
 
 for _name, _fn in kpis.ALL.items():
     _kpi(_name, _fn)
+
+
+# --- change capture over the events log ------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from changefold import specs  # noqa: E402
+from changefold.functions import convert  # noqa: E402
+from changefold.operators import fold, history, ingest, maintain  # noqa: E402
+from changefold.session import fresh_dir  # noqa: E402
+
+EVENTS = specs.USER_EVENTS
+AS_OF_MS = 1705276800000  # 2024-01-15 00:00:00 UTC
+PURGE_AS_OF = "2024-07-30 12:00:00"
+
+
+def classified_events(spark, sf_dir, damage=False):
+    return ingest.classify(fixtures.user_event_messages(spark, sf_dir, damage=damage), EVENTS)
+
+
+def events_bronze(spark, sf_dir, damage=False):
+    return ingest.bronze(classified_events(spark, sf_dir, damage))
+
+
+def present_state(silver):
+    """Silver user_events rows with timestamps as epoch milliseconds."""
+    return silver.select("user_id", "value", "props",
+                         convert.timestamp_to_epoch_ms(F.col("updated_at")).alias("updated_at_ms"),
+                         convert.timestamp_to_epoch_ms(F.col("created_at")).alias("created_at_ms"),
+                         "_deleted")
+
+
+@query("cdc_parse")
+def q_cdc_parse(spark, sf_dir):
+    """Encode events as JSON change messages, parse them back, flatten."""
+    b = events_bronze(spark, sf_dir)
+    return b.select("topic", "partition", "offset", "op", "ts_ms",
+                    F.coalesce(F.col("after.user_id"), F.col("before.user_id")).alias("user_id"),
+                    F.coalesce(F.col("after.value"), F.col("before.value")).alias("value"),
+                    F.coalesce(F.col("after.props"), F.col("before.props")).alias("props"),
+                    F.col("source.lsn").alias("lsn"))
+
+
+@query("cdc_dead_letter")
+def q_cdc_dead_letter(spark, sf_dir):
+    """Damaged messages routed to the dead-letter layout with a reason."""
+    dl = ingest.dead_letters(classified_events(spark, sf_dir, damage=True))
+    return dl.select("topic", "partition", "offset", "dead_letter_reason", "dead_letter_batch_id")
+
+
+@query("cdc_null_messages")
+def q_cdc_null_messages(spark, sf_dir):
+    """Null-valued messages are dropped but counted, per topic and batch."""
+    return ingest.null_messages(fixtures.user_event_messages(spark, sf_dir, damage=True),
+                                by=("topic", "_batch_id"))
+
+
+@query("cdc_batch_metrics")
+def q_cdc_batch_metrics(spark, sf_dir):
+    """Per-batch valid / dead-letter / upsert / delete counts in one pass."""
+    return ingest.batch_metrics(classified_events(spark, sf_dir, damage=True))
+
+
+@query("cdc_latest_per_batch")
+def q_cdc_latest_per_batch(spark, sf_dir):
+    """Last event per (batch, key); deletes keyed by their before image."""
+    return fold.latest_per_batch(events_bronze(spark, sf_dir), EVENTS)
+
+
+@query("cdc_upserts")
+def q_cdc_upserts(spark, sf_dir):
+    return fold.upserts(events_bronze(spark, sf_dir), EVENTS)
+
+
+@query("cdc_deletes")
+def q_cdc_deletes(spark, sf_dir):
+    return fold.deletes(events_bronze(spark, sf_dir), EVENTS)
+
+
+@query("cdc_state")
+def q_cdc_state(spark, sf_dir):
+    """Replay: fold the whole change log into one current row per key."""
+    return present_state(fold.current_state(events_bronze(spark, sf_dir), EVENTS))
+
+
+@query("cdc_state_incremental")
+def q_cdc_state_incremental(spark, sf_dir):
+    """Fold each 1000-event batch, then merge the batch states."""
+    return present_state(fold.incremental_state(events_bronze(spark, sf_dir), EVENTS))
+
+
+@query("cdc_state_as_of")
+def q_cdc_state_as_of(spark, sf_dir):
+    """The state as of 2024-01-15 00:00 UTC (time travel by filter + fold)."""
+    return present_state(fold.state_as_of(events_bronze(spark, sf_dir), EVENTS, AS_OF_MS))
+
+
+@query("cdc_history")
+def q_cdc_history(spark, sf_dir):
+    """Type-2 history: each event's version and its validity interval."""
+    return history.history(events_bronze(spark, sf_dir), EVENTS)
+
+
+@query("purge_deleted")
+def q_purge_deleted(spark, sf_dir):
+    """Drop rows soft-deleted more than 6 months before 2024-07-30 12:00 UTC."""
+    silver = fold.current_state(events_bronze(spark, sf_dir), EVENTS)
+    return present_state(maintain.purge_deleted(silver, PURGE_AS_OF))
+
+
+# --- type conversions and snapshots of the order tables --------------------
+
+@query("convert_dates")
+def q_convert_dates(spark, sf_dir):
+    """Epoch-day wire dates -> DATE, independent of the session time zone."""
+    rows = fixtures.order_rows(spark, sf_dir)
+    return rows.select("order_id",
+                       convert.epoch_days_to_date(F.col("order_date")).alias("order_date"),
+                       convert.epoch_days_to_date(F.col("delivery_date")).alias("delivery_date"))
+
+
+@query("convert_timestamps")
+def q_convert_timestamps(spark, sf_dir):
+    """Epoch-millisecond wire times -> TIMESTAMP, rendered in UTC."""
+    ev = fixtures.read_table(spark, sf_dir, "events")
+    ms = convert.ntz_to_epoch_ms(F.col("ts"))
+    ts = convert.epoch_ms_to_timestamp(ms)
+    return ev.select("event_id", ms.alias("ts_ms"),
+                     F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSS").alias("ts_text"))
+
+
+@query("convert_decimals")
+def q_convert_decimals(spark, sf_dir):
+    """Prices in both wire forms (text, scale + base64 bytes) -> DECIMAL(10,2)."""
+    rows = fixtures.product_rows(spark, sf_dir)
+    form = F.when(F.trim(F.col("unity_price")).startswith("{"), "object").otherwise("text")
+    return rows.select("product_id", form.alias("wire_form"),
+                       convert.wire_decimal(F.col("unity_price")).cast("double").alias("unity_price"))
+
+
+def snapshot_state(spark, rows, spec):
+    msgs = fixtures.to_messages(fixtures.snapshot_changes(rows, spec))
+    return fold.current_state(ingest.bronze(ingest.classify(msgs, spec)), spec)
+
+
+@query("item_rename")
+def q_item_rename(spark, sf_dir):
+    """order_items snapshot through JSON + fold; ``quanity`` -> ``quantity``."""
+    s = snapshot_state(spark, fixtures.order_item_rows(spark, sf_dir), specs.ORDER_ITEMS)
+    return s.select("order_item_id", "order_id", "product_id", "quantity", "_deleted")
+
+
+@query("orders_snapshot_state")
+def q_orders_snapshot_state(spark, sf_dir):
+    """orders snapshot through JSON + fold into the silver orders table."""
+    s = snapshot_state(spark, fixtures.order_rows(spark, sf_dir), specs.ORDERS)
+    return s.select("order_id", "order_date", "delivery_date", "customer_id", "status", "_deleted")
+
+
+@query("products_snapshot_state")
+def q_products_snapshot_state(spark, sf_dir):
+    """products snapshot (both price forms) through JSON + fold."""
+    s = snapshot_state(spark, fixtures.product_rows(spark, sf_dir), specs.PRODUCTS)
+    return s.select("product_id", "product_name", "barcode", F.col("unity_price").cast("double"),
+                    "is_active", "_deleted")
+
+
+@query("compact_clustered")
+def q_compact_clustered(spark, sf_dir):
+    """Rewrite silver orders clustered on (status, delivery_date); read back."""
+    out = fresh_dir(spark, "compact-orders")
+    t = maintain.compact(fixtures.silver_orders(spark, sf_dir), out, ["status", "delivery_date"])
+    return t.select("order_id", "order_date", "delivery_date", "customer_id", "status", "_deleted")

@@ -66,3 +66,100 @@ SELECT customer_id, COUNT(DISTINCT order_id) AS pending_order_count
 FROM open_orders WHERE status = 'PENDING' GROUP BY customer_id
 ORDER BY pending_order_count DESC, customer_id ASC LIMIT 3""",
 }
+
+# --- change log from events ------------------------------------------------
+
+TOPIC_EVENTS = "finance_db.operations.user_events"
+
+CH = f"""
+ch AS (
+  SELECT event_id, user_id, value, props,
+         CASE event_type WHEN 'signup' THEN 'c' WHEN 'purchase' THEN 'r' WHEN 'error' THEN 'd'
+              ELSE 'u' END AS op,
+         CAST(floor(epoch_us(ts) / 1000) AS BIGINT) AS ts_ms,
+         event_id // 1000 AS batch_id,
+         CAST(user_id % 8 AS INTEGER) AS part,
+         CASE WHEN event_id % 97 = 0 THEN 'json_parse_failure'
+              WHEN event_id % 101 = 0 THEN 'missing_op'
+              WHEN event_id % 103 = 0 THEN 'schema_mismatch'
+              WHEN event_id % 89 = 0 THEN 'null_value' END AS damage
+  FROM events)"""
+
+
+def state_sql(where: str = "TRUE") -> str:
+    return with_ctes(CH) + f"""
+SELECT user_id,
+       arg_max(value, (ts_ms, event_id)) FILTER (WHERE op <> 'd') AS value,
+       arg_max(props, (ts_ms, event_id)) FILTER (WHERE op <> 'd') AS props,
+       max(ts_ms) AS updated_at_ms,
+       min(ts_ms) FILTER (WHERE op <> 'd') AS created_at_ms,
+       arg_max(op, (ts_ms, event_id)) = 'd' AS _deleted
+FROM ch WHERE {where}
+GROUP BY user_id
+HAVING count(*) FILTER (WHERE op <> 'd') > 0"""
+
+
+AS_OF_MS = 1705276800000  # 2024-01-15 00:00:00 UTC
+PURGE_CUTOFF_MS = 1706616000000  # 2024-01-30 12:00:00 UTC = purge clock 2024-07-30 12:00 - 6 months
+
+SQL.update({
+    "cdc_parse": with_ctes(CH) + f"""
+SELECT '{TOPIC_EVENTS}' AS topic, part AS "partition", event_id AS "offset", op, ts_ms,
+       user_id, value, props, event_id AS lsn
+FROM ch""",
+    "cdc_dead_letter": with_ctes(CH) + f"""
+SELECT '{TOPIC_EVENTS}' AS topic, part AS "partition", event_id AS "offset",
+       damage AS dead_letter_reason, batch_id AS dead_letter_batch_id
+FROM ch WHERE damage IS NOT NULL AND damage <> 'null_value'""",
+    "cdc_null_messages": with_ctes(CH) + f"""
+SELECT '{TOPIC_EVENTS}' AS topic, batch_id AS _batch_id, count(*) AS messages,
+       count(*) FILTER (WHERE damage = 'null_value') AS null_messages
+FROM ch GROUP BY batch_id""",
+    "cdc_batch_metrics": with_ctes(CH) + """
+SELECT batch_id AS _batch_id,
+       count(*) AS messages,
+       count(*) FILTER (WHERE damage IS NULL) AS valid,
+       count(*) FILTER (WHERE damage IS NOT NULL) AS dead_letter,
+       count(*) FILTER (WHERE damage IS NULL AND op <> 'd') AS upserts,
+       count(*) FILTER (WHERE damage IS NULL AND op = 'd') AS deletes
+FROM ch WHERE damage IS DISTINCT FROM 'null_value' GROUP BY batch_id""",
+    "cdc_latest_per_batch": with_ctes(CH) + """
+SELECT batch_id AS _batch_id, user_id, op, ts_ms, event_id AS "offset", value, props
+FROM ch
+QUALIFY row_number() OVER (PARTITION BY batch_id, user_id ORDER BY ts_ms DESC, event_id DESC) = 1""",
+    "cdc_upserts": with_ctes(CH) + """
+SELECT user_id, value, props, ts_ms, event_id AS "offset", false AS _deleted FROM ch WHERE op <> 'd'""",
+    "cdc_deletes": with_ctes(CH) + """
+SELECT user_id, ts_ms, event_id AS "offset" FROM ch WHERE op = 'd'""",
+    "cdc_state": state_sql(),
+    "cdc_state_incremental": state_sql(),
+    "cdc_state_stream": state_sql(),
+    "cdc_state_as_of": state_sql(f"ts_ms <= {AS_OF_MS}"),
+    "cdc_history": with_ctes(CH) + """
+SELECT user_id, op, ts_ms AS valid_from_ms,
+       lead(ts_ms) OVER (PARTITION BY user_id ORDER BY ts_ms, event_id) AS valid_to_ms,
+       value, props, op = 'd' AS _deleted
+FROM ch""",
+    "purge_deleted": f"""
+SELECT * FROM ({state_sql()}) s
+WHERE NOT (_deleted AND updated_at_ms < {PURGE_CUTOFF_MS})""",
+    "convert_dates": """
+SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS order_date,
+       CAST(o_orderdate AS DATE) + 10 AS delivery_date FROM orders""",
+    "convert_timestamps": """
+SELECT event_id, CAST(floor(epoch_us(ts) / 1000) AS BIGINT) AS ts_ms,
+       strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS ts_text FROM events""",
+    "convert_decimals": """
+SELECT p_partkey AS product_id, CASE WHEN p_partkey % 2 = 0 THEN 'text' ELSE 'object' END AS wire_form,
+       CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS DOUBLE) AS unity_price FROM part""",
+    "item_rename": with_ctes(S_ITEMS) + """
+SELECT order_item_id, order_id, product_id, quantity, _deleted FROM s_items""",
+    "orders_snapshot_state": with_ctes(S_ORDERS) + """
+SELECT order_id, order_date, delivery_date, customer_id, status, _deleted FROM s_orders""",
+    "products_snapshot_state": """
+SELECT p_partkey AS product_id, p_name AS product_name, lpad(CAST(p_partkey AS VARCHAR), 12, '0') AS barcode,
+       CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS DOUBLE) AS unity_price, true AS is_active,
+       false AS _deleted FROM part""",
+    "compact_clustered": with_ctes(S_ORDERS) + """
+SELECT order_id, order_date, delivery_date, customer_id, status, _deleted FROM s_orders""",
+})

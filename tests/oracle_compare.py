@@ -59,9 +59,15 @@ def compare(spark, sf_dir, names=None, verbose=True):
     results = {}
     for name in names or sorted(qs):
         t0 = time.time()
-        df = qs[name](spark, sf_dir)
-        rows = df.collect()
-        cols = df.columns
+        try:
+            df = qs[name](spark, sf_dir)
+            rows = df.collect()
+            cols = df.columns
+        except Exception as exc:  # report and go on with the next query
+            results[name] = {"error": str(exc).splitlines()[0][:300], "match": False}
+            if verbose:
+                print(f"{name:40s} ERROR {results[name]['error']}", flush=True)
+            continue
         spark_s = time.time() - t0
         if name not in sqls:
             results[name] = {"rows": len(rows), "oracle": None}
