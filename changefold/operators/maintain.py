@@ -12,7 +12,8 @@ def purge_deleted(silver: DataFrame, as_of: Column | str, months: int = RETENTIO
     """Drop soft-deleted rows whose last change is older than ``months``
     before ``as_of``; live rows are always kept."""
     as_of_col = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of
-    cutoff = F.add_months(as_of_col, -months).cast("timestamp")
+    # Interval arithmetic keeps the time of day (add_months returns a DATE).
+    cutoff = as_of_col - F.expr(f"INTERVAL '{int(months)}' MONTH")
     return silver.filter(~(F.col("_deleted") & (F.col("updated_at") < cutoff)))
 
 
