@@ -228,3 +228,21 @@ def q_compact_clustered(spark, sf_dir):
     out = fresh_dir(spark, "compact-orders")
     t = maintain.compact(fixtures.silver_orders(spark, sf_dir), out, ["status", "delivery_date"])
     return t.select("order_id", "order_date", "delivery_date", "customer_id", "status", "_deleted")
+
+
+# --- the same fold under Structured Streaming --------------------------------
+
+@query("cdc_state_stream")
+def q_cdc_state_stream(spark, sf_dir):
+    """events as broker messages in files -> raw stream -> bronze -> silver
+    stream (one micro-batch per file, availableNow) -> merged silver state."""
+    from changefold.streaming import jobs
+    from changefold.streaming.config import StreamConfig
+
+    base = fresh_dir(spark, "stream")
+    cfg = StreamConfig(base_path=base, message_path=f"{base}/messages", available_now=True,
+                       max_files_per_trigger=1)
+    msgs = fixtures.user_event_messages(spark, sf_dir)
+    msgs.repartition("_batch_id").drop("_batch_id").write.parquet(cfg.message_path)
+    jobs.run_once(spark, cfg, EVENTS)
+    return present_state(jobs.read_silver(spark, cfg, EVENTS))
