@@ -50,12 +50,12 @@ def wire_decimal(c: Column, precision: int = 10, scale: int = 2) -> Column:
     is_obj = text.startswith("{")
     b64 = F.get_json_object(text, "$.value")
     obj_scale = F.get_json_object(text, "$.scale").cast("int")
-    raw = F.unbase64(b64)
-    nbytes = F.octet_length(raw)
-    unsigned = F.conv(F.hex(raw), 16, 10).cast("decimal(38,0)")
-    negative = F.conv(F.substring(F.hex(raw), 1, 1), 16, 10).cast("int") >= 8
-    signed = F.when(negative, unsigned - F.pow(F.lit(2), nbytes * 8).cast("decimal(38,0)")) \
-        .otherwise(unsigned)
+    h = F.hex(F.unbase64(b64))
+    # Sign-extend the big-endian two's complement bytes to 64 bits and read
+    # them as a signed long (negative target base = signed in ``conv``).
+    negative = F.conv(F.substring(h, 1, 1), 16, 10).cast("int") >= 8
+    padded = F.when(negative, F.lpad(h, 16, "F")).otherwise(F.lpad(h, 16, "0"))
+    signed = F.when(F.length(h) <= 16, F.conv(padded, 16, -10).cast("decimal(38,0)"))
     from_obj = (signed / F.pow(F.lit(10), obj_scale).cast("decimal(38,0)"))
     target = f"decimal({precision},{scale})"
     return F.when(is_obj, from_obj.try_cast(target)).otherwise(text.try_cast(target))
@@ -67,6 +67,7 @@ def decimal_to_wire_object(c: Column, scale: int = 2) -> Column:
     the unscaled value (minimal length, sign bit respected)."""
     unscaled = F.round(c * F.pow(F.lit(10), F.lit(scale))).cast("long")
     h = F.hex(unscaled)  # negative longs come out as 16 hex digits (two's complement)
+    h = F.regexp_replace(h, "^(FF)+(?=[89A-F])", "")  # minimal length, sign kept
     h = F.when(F.length(h) % 2 == 1, F.concat(F.lit("0"), h)).otherwise(h)
     h = F.when((unscaled >= 0) & (F.conv(F.substring(h, 1, 1), 16, 10).cast("int") >= 8),
                F.concat(F.lit("00"), h)).otherwise(h)

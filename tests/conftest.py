@@ -1,0 +1,34 @@
+import os
+import sys
+import tempfile
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+SF0001 = "/root/testdata/sf0.001"
+SF001 = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from pyspark.sql import SparkSession
+
+    from changefold.session import PLAN_SETTINGS, prepare
+
+    builder = (SparkSession.builder.master("local[*]").appName("changefold-tests")
+               .config("spark.sql.shuffle.partitions", "8"))
+    for k, v in PLAN_SETTINGS.items():
+        builder = builder.config(k, v)
+    s = builder.getOrCreate()
+    s.sparkContext.setLogLevel("ERROR")
+    # Tests set their own checkpoint directory (the cluster's is unset here).
+    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="changefold-test-ckpt-"))
+    prepare(s)
+    yield s
+    s.stop()
+
+
+@pytest.fixture()
+def tmp_base():
+    return tempfile.mkdtemp(prefix="changefold-test-")

@@ -1,0 +1,75 @@
+"""Conversions (time-zone independent) and gold/KPI edge cases."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from changefold.functions import convert
+from changefold.operators import gold, kpis
+
+
+def test_dates_do_not_depend_on_time_zone(spark):
+    out = {}
+    for tz in ("UTC", "America/Los_Angeles", "Asia/Tokyo"):
+        spark.conf.set("spark.sql.session.timeZone", tz)
+        df = spark.createDataFrame([(0,), (19723,), (-1,)], "d int")
+        out[tz] = [r.x for r in df.select(convert.epoch_days_to_date(F.col("d")).alias("x")).collect()]
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert out["UTC"] == [dt.date(1970, 1, 1), dt.date(2024, 1, 1), dt.date(1969, 12, 31)]
+    assert out["UTC"] == out["America/Los_Angeles"] == out["Asia/Tokyo"]
+
+
+def test_epoch_ms_round_trip(spark):
+    df = spark.createDataFrame([(0,), (1704067798778,), (-1,)], "ms long")
+    back = df.select(convert.timestamp_to_epoch_ms(convert.epoch_ms_to_timestamp(F.col("ms"))).alias("x"))
+    assert [r.x for r in back.collect()] == [0, 1704067798778, -1]
+
+
+def test_decimal_wire_object_round_trip(spark):
+    vals = ["0.00", "1.28", "12.34", "-12.34", "99999999.99", "-0.01"]
+    df = spark.createDataFrame([(v,) for v in vals], "v string").select(F.col("v").cast("decimal(10,2)").alias("d"))
+    out = df.select(convert.wire_decimal(convert.decimal_to_wire_object(F.col("d"))).alias("x"), "d").collect()
+    assert all(r.x == r.d for r in out)
+
+
+def _silver_orders(spark, rows):
+    return spark.createDataFrame(
+        rows, "order_id long, delivery_date date, status string, customer_id long, order_date date, _deleted boolean")
+
+
+def _silver_items(spark, rows):
+    return spark.createDataFrame(rows, "order_item_id long, order_id long, product_id long, quantity int, _deleted boolean")
+
+
+def test_open_orders_rules(spark):
+    d = dt.date(2024, 1, 1)
+    orders = _silver_orders(spark, [
+        (1, d, "PENDING", 10, d, False),
+        (2, d, None, 10, d, False),         # null status: not open
+        (3, d, "COMPLETED", 10, d, False),  # completed: not open
+        (4, d, "PENDING", 11, d, True),     # deleted: not open
+        (5, d, "PROCESSING", 12, d, False),  # open, but has no items
+    ])
+    items = _silver_items(spark, [
+        (100, 1, 7, 1, False), (101, 1, 8, 2, False), (102, 1, 9, 3, True),
+        (200, 2, 7, 1, False), (300, 3, 7, 1, False), (400, 4, 7, 1, False),
+    ])
+    oo = gold.open_orders(orders, items)
+    assert oo.columns == gold.OPEN_ORDERS_COLUMNS
+    assert sorted(r.order_item_id for r in oo.collect()) == [100, 101]
+
+
+def test_kpis_tie_break_by_key(spark):
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    oo = spark.createDataFrame([
+        (1, d2, "PENDING", 30, d1, 1, 7, 1), (2, d1, "PENDING", 20, d1, 2, 7, 1),
+        (3, d1, "PENDING", 10, d1, 3, 8, 1), (4, d2, "PENDING", 40, d1, 4, 8, 1),
+        (5, d2, "PROCESSING", 50, d1, 5, 9, 1), (5, d2, "PROCESSING", 50, d1, 6, 9, 1),
+    ], ", ".join(f"{c} {t}" for c, t in zip(gold.OPEN_ORDERS_COLUMNS,
+                                              ["long", "date", "string", "long", "date", "long", "long", "int"])))
+    assert [tuple(r) for r in kpis.top_delivery_dates(oo).collect()] == [(d2, 3), (d1, 2)]
+    assert [r.customer_id for r in kpis.top_customers_pending(oo).collect()] == [10, 20, 30]
+    p = [tuple(r) for r in kpis.pending_items_by_product(oo).collect()]
+    assert p == [(7, 2), (8, 2)]
+    k1 = [tuple(r) for r in kpis.open_orders_by_date_status(oo).collect()]
+    assert k1 == [(d1, "PENDING", 2), (d2, "PENDING", 2), (d2, "PROCESSING", 1)]

@@ -1,0 +1,78 @@
+"""Bad input goes to the dead-letter layout with a reason; nulls are counted."""
+
+from pyspark.sql import functions as F
+
+from changefold import specs
+from changefold.operators import ingest
+
+from helpers import envelope as env, messages
+
+BAD = {
+    "not json": ingest.REASON_NOT_JSON,
+    '{"op" "c"}': ingest.REASON_NOT_JSON,
+    "": ingest.REASON_EMPTY,
+    "   ": ingest.REASON_EMPTY,
+    "null": ingest.REASON_NOT_JSON,
+    "[]": ingest.REASON_NOT_JSON,
+    "42": ingest.REASON_NOT_JSON,
+    "{}": ingest.REASON_NO_OP,
+    '{"op": "c", "ts_ms": "yesterday", "after": {"user_id": 1}}': ingest.REASON_SCHEMA,
+    '{"op": "c", "ts_ms": 5, "after": {"user_id": 1}': ingest.REASON_NOT_JSON,
+    '{"op": "x", "ts_ms": 5, "after": {"user_id": 1}}': ingest.REASON_BAD_OP,
+    '{"op": "c", "after": {"user_id": 1}}': ingest.REASON_NO_TS,
+    '{"op": "c", "ts_ms": 5, "after": {"value": 1.0}}': ingest.REASON_NO_KEY,
+    '{"op": "d", "ts_ms": 5, "after": {"user_id": 1}}': ingest.REASON_NO_KEY,
+}
+
+
+def test_every_bad_input_has_a_reason(spark):
+    items = [(text, i) for i, text in enumerate(BAD)] + [(env("c"), 100), (None, 101)]
+    c = ingest.classify(messages(spark, items), specs.USER_EVENTS)
+    dl = {r.offset: r.dead_letter_reason for r in ingest.dead_letters(c, 3).collect()}
+    expected = {i: reason for i, reason in enumerate(BAD.values())}
+    assert dl == expected
+    good = ingest.bronze(c).collect()
+    assert [r.offset for r in good] == [100]
+
+
+def test_dead_letter_layout(spark):
+    c = ingest.classify(messages(spark, [("oops", 1)]), specs.USER_EVENTS)
+    r = ingest.dead_letters(c, 9).collect()[0]
+    assert set(r.asDict()) == {"value", "topic", "partition", "offset", "dead_letter_reason",
+                               "dead_letter_batch_id", "dead_letter_ts"}
+    assert bytes(r.value) == b"oops" and r.dead_letter_batch_id == 9
+
+
+def test_null_messages_dropped_and_counted(spark):
+    m = messages(spark, [(None, 1), (None, 2), (env("c"), 3)])
+    assert ingest.classify(m, specs.USER_EVENTS).count() == 1
+    r = ingest.null_messages(m).collect()[0]
+    assert (r.messages, r.null_messages) == (3, 2)
+
+
+def test_unknown_topic(spark):
+    m = messages(spark, [(env("c"), 1)], topic="other.schema.mystery")
+    assert [r.dead_letter_reason for r in ingest.unknown_topics(m).collect()] == [ingest.REASON_UNKNOWN_TOPIC]
+    routed = ingest.route(m)
+    assert all(df.count() == 0 for df in routed.values())
+
+
+def test_bronze_keeps_log_position(spark):
+    c = ingest.classify(messages(spark, [(env("c", ts=5), 42, 0, 3)]), specs.USER_EVENTS)
+    r = ingest.bronze(c).collect()[0]
+    assert (r.topic, r.partition, r.offset, r.op, r.ts_ms) == (specs.USER_EVENTS.topic, 3, 42, "c", 5)
+    assert r.kafka_ingest_ts is not None
+
+
+def test_batch_metrics_single_pass(spark):
+    items = [(env("c"), 1, 0), (env("d"), 2, 0), ("bad", 3, 0), (env("u"), 4, 1)]
+    c = ingest.classify(messages(spark, items), specs.USER_EVENTS)
+    m = {r._batch_id: r.asDict() for r in ingest.batch_metrics(c).collect()}
+    assert (m[0]["valid"], m[0]["dead_letter"], m[0]["upserts"], m[0]["deletes"]) == (2, 1, 1, 1)
+    assert m[1]["upserts"] == 1
+
+
+def test_topic_table_name(spark):
+    from changefold.functions import convert
+    r = spark.range(1).select(convert.topic_table(F.lit("finance_db.operations.order_items")).alias("t"))
+    assert r.collect()[0].t == "order_items"
