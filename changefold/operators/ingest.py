@@ -22,6 +22,7 @@ from changefold.specs import TableSpec
 CORRUPT = "_corrupt_record"
 
 # Dead-letter reasons, checked in this order.
+REASON_NULL = "null_value"  # not a dead letter: dropped and counted
 REASON_EMPTY = "empty_payload"
 REASON_NOT_JSON = "json_parse_failure"
 REASON_SCHEMA = "schema_mismatch"
@@ -48,15 +49,23 @@ def event_key(spec: TableSpec, payload: str = "payload") -> Column:
 
 
 def classify(messages: DataFrame, spec: TableSpec) -> DataFrame:
-    """Non-null messages of ``spec``'s topic with ``payload`` and
-    ``dead_letter_reason`` columns.  Null messages (heartbeats/tombstones)
-    are dropped here; count them with ``null_messages``."""
+    """Messages with the parsed ``payload`` and a ``dead_letter_reason``
+    (null when valid).  Null messages (heartbeats, tombstones) get the
+    reason ``null_value``: they reach neither bronze nor the dead-letter
+    table and are only counted (``null_messages``, ``batch_metrics``).
+
+    The JSON is parsed exactly once per message.  The parse sits in a
+    one-element ``inline`` generator: filters on the reason cannot be
+    pushed below a generator's output, so the optimizer does not copy
+    ``from_json`` into every predicate that reads a payload field."""
     text = F.col("value").cast("string")
-    parsed = messages.filter(F.col("value").isNotNull()).withColumn(
-        "payload", F.from_json(text, parse_schema(spec),
-                               {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+    parsed = messages.select(
+        "*", F.inline(F.array(F.struct(
+            F.from_json(text, parse_schema(spec),
+                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("payload")))))
     p = F.col("payload")
-    reason = (F.when(F.trim(text) == "", F.lit(REASON_EMPTY))
+    reason = (F.when(F.col("value").isNull(), F.lit(REASON_NULL))
+              .when(F.trim(text) == "", F.lit(REASON_EMPTY))
               .when(p.isNull(), F.lit(REASON_NOT_JSON))
               .when(p[CORRUPT].isNotNull() & F.json_object_keys(text).isNull(), F.lit(REASON_NOT_JSON))
               .when(p[CORRUPT].isNotNull(), F.lit(REASON_SCHEMA))
@@ -83,7 +92,8 @@ def dead_letters(classified: DataFrame, batch_id: Column | int | None = None,
         batch_id = F.col("_batch_id")
     elif not isinstance(batch_id, Column):
         batch_id = F.lit(batch_id)
-    return classified.filter(F.col("dead_letter_reason").isNotNull()).select(
+    reason = F.col("dead_letter_reason")
+    return classified.filter(reason.isNotNull() & (reason != REASON_NULL)).select(
         "value", "topic", "partition", "offset", "dead_letter_reason",
         batch_id.cast("long").alias("dead_letter_batch_id"),
         (stamp if stamp is not None else F.current_timestamp()).alias("dead_letter_ts"))
@@ -111,10 +121,11 @@ def route(messages: DataFrame, registry: dict[str, TableSpec] | None = None) ->
 
 
 def batch_metrics(classified: DataFrame, by: str = "_batch_id") -> DataFrame:
-    """Counts per batch in one pass: valid, dead, upserts, deletes."""
+    """Counts per batch in one pass: non-null messages, valid, dead letters,
+    upserts, deletes."""
     reason = F.col("dead_letter_reason")
     op = F.col("payload.op")
-    return classified.groupBy(by).agg(
+    return classified.filter(reason.isNull() | (reason != REASON_NULL)).groupBy(by).agg(
         F.count(F.lit(1)).alias("messages"),
         F.count_if(reason.isNull()).alias("valid"),
         F.count_if(reason.isNotNull()).alias("dead_letter"),

@@ -45,7 +45,8 @@ def test_dead_letter_layout(spark):
 
 def test_null_messages_dropped_and_counted(spark):
     m = messages(spark, [(None, 1), (None, 2), (env("c"), 3)])
-    assert ingest.classify(m, specs.USER_EVENTS).count() == 1
+    c = ingest.classify(m, specs.USER_EVENTS)
+    assert ingest.bronze(c).count() == 1 and ingest.dead_letters(c, 0).count() == 0
     r = ingest.null_messages(m).collect()[0]
     assert (r.messages, r.null_messages) == (3, 2)
 
