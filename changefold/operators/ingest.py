@@ -113,6 +113,14 @@ def null_messages(messages: DataFrame, by: tuple[str, ...] = ("topic",)) -> Data
         F.count_if(F.col("value").isNull()).alias("null_messages"))
 
 
+def topic_counts(messages: DataFrame) -> DataFrame:
+    """Messages per (table, partition) from the topic name; null values counted."""
+    from changefold.functions.convert import topic_table
+    return messages.groupBy(topic_table(F.col("topic")).alias("table_name"), "partition").agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.count_if(F.col("value").isNull()).alias("null_messages"))
+
+
 def route(messages: DataFrame, registry: dict[str, TableSpec] | None = None) -> dict[str, DataFrame]:
     """Split a multi-topic message log: table name -> classified rows."""
     reg = registry or specs.REGISTRY

@@ -222,6 +222,21 @@ def q_products_snapshot_state(spark, sf_dir):
                     "is_active", "_deleted")
 
 
+@query("customers_snapshot_state")
+def q_customers_snapshot_state(spark, sf_dir):
+    """customers snapshot + deletes through JSON + fold (a delete deactivates)."""
+    msgs = fixtures.to_messages(fixtures.customer_changes(spark, sf_dir))
+    s = fold.current_state(ingest.bronze(ingest.classify(msgs, specs.CUSTOMERS)), specs.CUSTOMERS)
+    return s.select("customer_id", "customer_name", "is_active", "customer_address",
+                    convert.timestamp_to_epoch_ms(F.col("updated_at")).alias("updated_at_ms"), "_deleted")
+
+
+@query("cdc_route_topics")
+def q_cdc_route_topics(spark, sf_dir):
+    """One message log with five topics: messages per (table, partition)."""
+    return ingest.topic_counts(fixtures.all_topic_messages(spark, sf_dir))
+
+
 @query("compact_clustered")
 def q_compact_clustered(spark, sf_dir):
     """Rewrite silver orders clustered on (status, delivery_date); read back."""

@@ -163,3 +163,25 @@ SELECT p_partkey AS product_id, p_name AS product_name, lpad(CAST(p_partkey AS V
     "compact_clustered": with_ctes(S_ORDERS) + """
 SELECT order_id, order_date, delivery_date, customer_id, status, _deleted FROM s_orders""",
 })
+
+SQL.update({
+    "customers_snapshot_state": """
+SELECT c_custkey AS customer_id, c_name AS customer_name, c_acctbal >= 0 AS is_active,
+       'NATION ' || CAST(c_nationkey AS VARCHAR) AS customer_address,
+       CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS updated_at_ms,
+       c_acctbal < 0 AS _deleted
+FROM customer""",
+    "cdc_route_topics": with_ctes(CH, S_ITEMS) + """
+SELECT table_name, "partition", count(*) AS messages,
+       count(*) FILTER (WHERE is_null) AS null_messages
+FROM (
+  SELECT 'user_events' AS table_name, part AS "partition", damage = 'null_value' AS is_null FROM ch
+  UNION ALL SELECT 'orders', CAST(o_orderkey % 8 AS INTEGER), false FROM orders
+  UNION ALL SELECT 'order_items', CAST(order_item_id % 8 AS INTEGER), false FROM s_items
+  UNION ALL SELECT 'products', CAST(p_partkey % 8 AS INTEGER), false FROM part
+  UNION ALL SELECT 'customers', CAST(c_custkey % 8 AS INTEGER), false FROM customer
+  UNION ALL SELECT 'customers', CAST(c_custkey % 8 AS INTEGER), false FROM customer WHERE c_acctbal < 0
+) m
+GROUP BY table_name, "partition"
+""",
+})

@@ -27,6 +27,9 @@ from changefold.functions import convert
 #   of 103 -> ts_ms sent as text, of 89 -> null message value.
 # Order item ids: order key * 1000 + rank of the line within its order.
 # Barcodes: the part key left-padded with zeros to 12 digits.
+# Customers: active when the account balance is >= 0; customer address is
+#   "NATION <nation key>"; customers with a negative balance are deleted
+#   (at ts_ms 1, after their snapshot at ts_ms 0).
 # ---------------------------------------------------------------------------
 DELIVERY_DAYS = 10
 EVENT_OPS = {"signup": "c", "purchase": "r", "error": "d"}
@@ -157,6 +160,42 @@ def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def customer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "customer")
+    return c.select(
+        c.c_custkey.alias("customer_id"),
+        c.c_name.alias("customer_name"),
+        (c.c_acctbal >= 0).alias("is_active"),
+        F.concat(F.lit("NATION "), c.c_nationkey.cast("string")).alias("customer_address"),
+        F.lit(0).cast("long").alias("updated_at"), F.lit(None).cast("long").alias("updated_by"),
+        F.lit(0).cast("long").alias("created_at"), F.lit(None).cast("long").alias("created_by"),
+        c.c_acctbal.alias("_balance"),
+    )
+
+
+def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot of every customer, then a delete of each customer with a
+    negative balance."""
+    rows = customer_rows(spark, sf_dir)
+    snap = snapshot_changes(rows.drop("_balance"), specs.CUSTOMERS)
+    spec = specs.CUSTOMERS
+    image = F.struct(*[F.col(f) for f in spec.row_schema.fieldNames()]).cast(spec.row_schema)
+    t = F.lit(1).cast("long")
+    dels = rows.filter(F.col("_balance") < 0).select(
+        image.alias("before"),
+        F.lit(None).cast(spec.row_schema).alias("after"),
+        F.lit("d").alias("op"),
+        t.alias("ts_ms"),
+        _source_block(spec, t, F.col(spec.key), F.lit("false")).alias("source"),
+        F.lit(spec.topic).alias("topic"),
+        F.pmod(F.col(spec.key), F.lit(TOPIC_PARTITIONS)).cast("int").alias("partition"),
+        F.col(spec.key).alias("offset"),
+        F.timestamp_millis(t).alias("timestamp"),
+        F.lit(1).cast("long").alias("_batch_id"),
+    )
+    return snap.unionByName(dels)
+
+
 def product_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices alternate between the two wire forms: text for even keys,
     the scale + base64 object for odd keys."""
@@ -270,13 +309,14 @@ def user_event_messages(spark: SparkSession, sf_dir: str, damage: bool = False)
 
 def all_topic_messages(spark: SparkSession, sf_dir: str, damage: bool = True) -> DataFrame:
     """Messages of every fixture topic: the user_events change log (damaged
-    as above) plus initial snapshots of orders, order_items, customers and
-    products."""
+    as above), snapshots of orders, order_items and products, and the
+    customer snapshot with its deletes."""
     snaps = [
         snapshot_changes(order_rows(spark, sf_dir), specs.ORDERS),
         snapshot_changes(order_item_rows(spark, sf_dir), specs.ORDER_ITEMS),
         snapshot_changes(product_rows(spark, sf_dir), specs.PRODUCTS),
     ]
+    snaps.append(customer_changes(spark, sf_dir))
     msgs = user_event_messages(spark, sf_dir, damage=damage)
     for s in snaps:
         msgs = msgs.unionByName(to_messages(s))
