@@ -135,10 +135,18 @@ def state_as_of(bronze_df: DataFrame, spec: TableSpec, as_of_ms: int) -> DataFra
     return current_state(bronze_df.filter(F.col("ts_ms") <= F.lit(as_of_ms)), spec)
 
 
-def latest_per_batch(bronze_df: DataFrame, spec: TableSpec, batch_col: str = "_batch_id") -> DataFrame:
-    """The last event of each key within each batch (deletes keyed by
-    ``before``).  ``max_by`` combines map-side instead of a window sort."""
+def latest_per_batch(bronze_df: DataFrame, spec: TableSpec, batch_col: str = "_batch_id",
+                     key_from: str = "op") -> DataFrame:
+    """The last event of each key within each batch.  ``max_by`` combines
+    map-side instead of a window sort.
+
+    ``key_from="op"`` keys deletes by ``before`` (correct).  ``"after"``
+    reproduces keying every event by its ``after`` image, under which all
+    deletes of a batch share the null key and only one survives; it exists
+    to compare against that behaviour, not for use."""
     ch = changes(bronze_df, spec)
+    if key_from == "after":
+        ch = ch.withColumn(spec.key, F.col("after")[spec.key])
     last = F.max_by(F.struct("op", F.col("_seq.ts_ms").alias("ts_ms"), F.col("_seq.offset").alias("offset"),
                              F.coalesce("after", "before").alias("image")), "_seq").alias("_last")
     out = ch.groupBy(batch_col, spec.key).agg(last)

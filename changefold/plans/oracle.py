@@ -168,7 +168,7 @@ SQL.update({
     "customers_snapshot_state": """
 SELECT c_custkey AS customer_id, c_name AS customer_name, c_acctbal >= 0 AS is_active,
        'NATION ' || CAST(c_nationkey AS VARCHAR) AS customer_address,
-       CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS updated_at_ms,
+       CAST(CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS BIGINT) AS updated_at_ms,
        c_acctbal < 0 AS _deleted
 FROM customer""",
     "cdc_route_topics": with_ctes(CH, S_ITEMS) + """

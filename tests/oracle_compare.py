@@ -94,9 +94,18 @@ def compare(spark, sf_dir, names=None, verbose=True):
 
 
 if __name__ == "__main__":
-    from changefold.session import build_session
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session(shuffle_partitions=8)
-    res = compare(spark, sf, sys.argv[2:] or None)
+    args = sys.argv[1:]
+    plain = "--plain" in args  # a bare session, like the driver's
+    args = [a for a in args if a != "--plain"]
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    if plain:
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.ui.enabled", "false").getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        from changefold.session import build_session
+        spark = build_session(shuffle_partitions=8)
+    res = compare(spark, sf, args[1:] or None)
     bad = [k for k, v in res.items() if v.get("match") is False]
     print("MISMATCHES:", bad)

@@ -43,6 +43,14 @@ def test_latest_per_batch_keys_deletes_by_before(spark):
     assert sorted(r.user_id for r in out) == [1, 2, 3]
 
 
+def test_after_keyed_dedup_loses_deletes(spark):
+    """The keying this engine fixes: by ``after`` only one delete survives."""
+    items = [(env("d", key=k, ts=k), k, 0) for k in (1, 2, 3)]
+    bronze = ingest.bronze(ingest.classify(messages(spark, items), specs.USER_EVENTS))
+    assert fold.latest_per_batch(bronze, specs.USER_EVENTS, key_from="after").count() == 1
+    assert fold.latest_per_batch(bronze, specs.USER_EVENTS).count() == 3
+
+
 def test_reinsert_keeps_first_created(spark):
     s = rows_by_key(state_of(spark, [(env("c", ts=1), 1), (env("d", ts=2), 2), (env("c", ts=3), 3)]))
     assert s[1]["_deleted"] is False
