@@ -73,3 +73,14 @@ def test_kpis_tie_break_by_key(spark):
     assert p == [(7, 2), (8, 2)]
     k1 = [tuple(r) for r in kpis.open_orders_by_date_status(oo).collect()]
     assert k1 == [(d1, "PENDING", 2), (d2, "PENDING", 2), (d2, "PROCESSING", 1)]
+
+
+def test_kpi_sql_over_serving_view_equals_dataframe_api(spark):
+    from changefold.sources import fixtures
+    from conftest import SF0001
+    oo = gold.open_orders(fixtures.silver_orders(spark, SF0001), fixtures.silver_order_items(spark, SF0001))
+    view = kpis.register_serving_view(oo, "open_orders_test")
+    for name, fn in kpis.ALL.items():
+        a = [tuple(r) for r in fn(oo).collect()]
+        b = [tuple(r) for r in kpis.sql(spark, name, view).collect()]
+        assert a == b, name

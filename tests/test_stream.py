@@ -132,3 +132,30 @@ def test_bootstrap_creates_empty_table(spark, tmp_base):
     store.bootstrap(spark, path, jobs.bronze_schema(EV), ("_batch_id",))
     assert store.exists(spark, path)
     assert spark.read.schema(jobs.bronze_schema(EV)).parquet(path).count() == 0
+
+
+def test_export_orders_by_order_date(spark, tmp_base):
+    cfg = _cfg(tmp_base, max_files_per_trigger=100)
+    fixtures.to_messages(fixtures.snapshot_changes(fixtures.order_rows(spark, SF0001), specs.ORDERS)) \
+        .drop("_batch_id").write.parquet(cfg.message_path)
+    jobs.run_once(spark, cfg, specs.ORDERS)
+    out = jobs.export_silver(spark, cfg, specs.ORDERS, f"{tmp_base}/export/orders")
+    import os
+    assert any(d.startswith("order_date=") for d in os.listdir(f"{tmp_base}/export/orders"))
+    want = fixtures.silver_orders(spark, SF0001).select("order_id", "order_date", "status")
+    assert _rows(out.select("order_id", "order_date", "status")) == _rows(want)
+
+
+def test_bootstrap_all_and_metrics_table(spark, tmp_base):
+    cfg = _cfg(tmp_base)
+    jobs.bootstrap_all(spark, cfg)
+    for name in specs.REGISTRY:
+        assert store.exists(spark, cfg.bronze_path(name)) and store.exists(spark, cfg.silver_path(name))
+    # an empty silver log reads as an empty table
+    assert jobs.read_silver(spark, cfg, specs.ORDERS).count() == 0
+    rec = metrics.ProgressRecorder()
+    rec._rows.append({"query": "q", "batch_id": 0, "timestamp": "t", "num_input_rows": 1,
+                      "input_rows_per_second": 1.0, "processed_rows_per_second": 1.0,
+                      "batch_duration_ms": 5, "offsets_behind": 0.0})
+    assert rec.flush(spark, f"{tmp_base}/metrics") == 1
+    assert spark.read.parquet(f"{tmp_base}/metrics").count() == 1
