@@ -1,0 +1,62 @@
+"""A key holding a third of all events: results stay exact, work is split."""
+
+import json
+import random
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+from changefold import specs
+from changefold.operators import fold, history, ingest
+
+from helpers import messages
+
+EV = specs.USER_EVENTS
+N = 6000
+
+
+def _skewed_messages(spark):
+    rng = random.Random(7)
+    items = []
+    for off in range(N):
+        key = 1 if off % 3 == 0 else rng.randrange(2, 200)  # key 1: a third of the log
+        op = rng.choice("cuurd")
+        img = {"user_id": key, "value": float(off), "props": None}
+        env = {"op": op, "ts_ms": rng.randrange(10**6), "source": {"lsn": off},
+               "before": img if op == "d" else None, "after": None if op == "d" else img}
+        items.append((json.dumps(env), off, off // 500, key % 4))
+    rng.shuffle(items)
+    return messages(spark, items)
+
+
+def test_hot_key_fold_and_history_exact(spark):
+    bronze = ingest.bronze(ingest.classify(_skewed_messages(spark), EV))
+    pdf = bronze.select(F.coalesce("after.user_id", "before.user_id").alias("k"), "op", "ts_ms",
+                        F.col("source.lsn").alias("lsn"), "partition", "offset",
+                        F.coalesce("after.value", "before.value").alias("v")).toPandas()
+    pdf = pdf.sort_values(["k", "ts_ms", "lsn", "partition", "offset"])
+    # brute-force state
+    want = {}
+    for k, g in pdf.groupby("k"):
+        ups = g[g.op != "d"]
+        if len(ups):
+            want[k] = (ups.v.iloc[-1], g.op.iloc[-1] == "d")
+    got = {r.user_id: (r.value, r._deleted) for r in fold.current_state(bronze, EV).collect()}
+    assert got == want
+    # brute-force history: next event time of the same key
+    pdf["nxt"] = pdf.groupby("k").ts_ms.shift(-1)
+    want_h = sorted((int(r.k), int(r.ts_ms), None if pd.isna(r.nxt) else int(r.nxt)) for r in pdf.itertuples())
+    h = history.history(bronze, EV, partitions=8).collect()
+    got_h = sorted((r.user_id, r.valid_from_ms, r.valid_to_ms) for r in h)
+    assert got_h == want_h
+
+
+def test_hot_key_is_split_across_range_partitions(spark):
+    bronze = ingest.bronze(ingest.classify(_skewed_messages(spark), EV))
+    ch = fold.changes(bronze, EV)
+    sizes = (ch.repartitionByRange(8, "user_id", "_seq").withColumn("_pid", F.spark_partition_id())
+             .groupBy("_pid", "user_id").count())
+    biggest = sizes.agg(F.max("count")).first()[0]
+    hot_total = ch.filter("user_id = 1").count()
+    assert hot_total >= N // 3 - 1
+    assert biggest < hot_total / 2  # the hot key's events are spread over several tasks
