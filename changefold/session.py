@@ -31,6 +31,25 @@ PLAN_SETTINGS = {
 }
 
 
+# Target bytes per task: big enough to amortise task overhead, small enough
+# to sort and aggregate in executor memory without heavy spilling.
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def scale_settings(input_bytes: int, total_cores: int) -> dict:
+    """Partition sizing for a job reading ``input_bytes`` on ``total_cores``:
+    enough shuffle partitions that each holds about 128 MB (at least 3 waves
+    of tasks), scans split at 128 MB, and AQE coalescing small ones."""
+    by_size = -(-int(input_bytes) // TARGET_PARTITION_BYTES)
+    shuffle = max(total_cores * 3 if input_bytes > TARGET_PARTITION_BYTES else total_cores, by_size)
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    }
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     for key, value in RESULT_SETTINGS.items():
         if spark.conf.get(key, None) != value:
@@ -63,6 +82,9 @@ def work_dir(spark: SparkSession) -> str:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         path = jdir.get() if jdir.isDefined() else None
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder; "
+                               "a machine-local folder is not visible to other executors")
         path = tempfile.mkdtemp(prefix="changefold-")
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")

@@ -82,6 +82,8 @@ def test_stateful_silver_stream(spark, tmp_base):
     q = jobs.start_silver_stateful(spark, cfg, EV)
     q.awaitTermination()
     assert q.exception() is None
+    with open(f"{cfg.checkpoint('silver_stateful', EV.name)}/offsets/0") as fh:
+        assert "RocksDBStateStoreProvider" in fh.read()
     assert _rows(jobs.read_silver(spark, cfg, EV)) == _batch_state(spark)
 
 
