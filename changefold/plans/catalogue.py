@@ -11,9 +11,12 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from changefold.operators import gold, kpis
-from changefold.session import prepare
+from changefold import specs
+from changefold.functions import convert
+from changefold.operators import fold, gold, history, ingest, kpis, maintain
+from changefold.session import fresh_dir, prepare
 from changefold.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,13 +62,6 @@ for _name, _fn in kpis.ALL.items():
 
 # --- change capture over the events log ------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from changefold import specs  # noqa: E402
-from changefold.functions import convert  # noqa: E402
-from changefold.operators import fold, history, ingest, maintain  # noqa: E402
-from changefold.session import fresh_dir  # noqa: E402
-
 EVENTS = specs.USER_EVENTS
 AS_OF_MS = 1705276800000  # 2024-01-15 00:00:00 UTC
 PURGE_AS_OF = "2024-07-30 12:00:00"

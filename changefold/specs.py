@@ -109,10 +109,6 @@ class TableSpec:
         return [c.name for c in self.columns] + ["updated_at", "created_at", "_deleted"]
 
 
-def _ident(c: Column) -> Column:
-    return c
-
-
 ORDERS = TableSpec(
     name="orders",
     key="order_id",
