@@ -61,10 +61,10 @@ def test_replayed_batch_is_idempotent(spark, tmp_base):
     msgs = fixtures.user_event_messages(spark, SF0001, damage=True).drop("_batch_id")
     jobs.process_raw_batch(msgs, 5, EV, cfg)
     n_bronze = spark.read.parquet(cfg.bronze_path(EV.name)).count()
-    n_dead = spark.read.parquet(cfg.dead_letter_path).count()
+    n_dead = spark.read.parquet(cfg.dead_letter_path(EV.name)).count()
     jobs.process_raw_batch(msgs, 5, EV, cfg)  # the same batch again
     assert spark.read.parquet(cfg.bronze_path(EV.name)).count() == n_bronze
-    assert spark.read.parquet(cfg.dead_letter_path).count() == n_dead > 0
+    assert spark.read.parquet(cfg.dead_letter_path(EV.name)).count() == n_dead > 0
     bronze = spark.read.parquet(cfg.bronze_path(EV.name))
     jobs.process_silver_batch(bronze, 5, EV, cfg)
     jobs.process_silver_batch(bronze, 5, EV, cfg)
