@@ -257,3 +257,25 @@ def q_cdc_state_stream(spark, sf_dir):
     msgs.repartition("_batch_id").drop("_batch_id").write.parquet(cfg.message_path)
     jobs.run_once(spark, cfg, EVENTS)
     return present_state(jobs.read_silver(spark, cfg, EVENTS))
+
+
+@query("open_orders_stream")
+def q_open_orders_stream(spark, sf_dir):
+    """orders and lineitem snapshots as broker messages -> raw and silver
+    streams per table -> gold refreshed by the silver stream -> gold table."""
+    from changefold.streaming import jobs
+    from changefold.streaming.config import StreamConfig
+
+    base = fresh_dir(spark, "stream-gold")
+    cfg = StreamConfig(base_path=base, message_path=f"{base}/messages", available_now=True)
+    snaps = fixtures.to_messages(fixtures.snapshot_changes(fixtures.order_rows(spark, sf_dir), specs.ORDERS)) \
+        .unionByName(fixtures.to_messages(
+            fixtures.snapshot_changes(fixtures.order_item_rows(spark, sf_dir), specs.ORDER_ITEMS)))
+    snaps.drop("_batch_id").write.parquet(cfg.message_path)
+    for spec in (specs.ORDERS, specs.ORDER_ITEMS):
+        jobs.run_once(spark, cfg, spec)
+    q = jobs.start_gold(spark, cfg)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"gold refresh failed: {q.exception()}")
+    return spark.read.parquet(cfg.gold_path)

@@ -50,6 +50,7 @@ GOLD = with_ctes(S_ORDERS, S_ITEMS, OPEN_ORDERS)
 
 SQL: dict[str, str] = {
     "open_orders": GOLD + "SELECT * FROM open_orders",
+    "open_orders_stream": GOLD + "SELECT * FROM open_orders",
     "kpi_open_orders_by_date_status": GOLD + """
 SELECT delivery_date, status, COUNT(DISTINCT order_id) AS order_count
 FROM open_orders GROUP BY delivery_date, status ORDER BY delivery_date, status""",
