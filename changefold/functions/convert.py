@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-
 
 def epoch_days_to_date(c: Column) -> Column:
     """Days since 1970-01-01 -> DATE (no detour through a local timestamp)."""
@@ -31,9 +29,13 @@ def timestamp_to_epoch_ms(c: Column) -> Column:
 
 
 def ntz_to_epoch_ms(c: Column) -> Column:
-    """TIMESTAMP_NTZ -> epoch ms, read as UTC wall time, whatever the session zone."""
-    micros = F.timestamp_diff("MICROSECOND", F.expr(EPOCH_NTZ), c.cast("timestamp_ntz"))
-    return F.floor(micros / F.lit(1000)).cast("long")
+    """TIMESTAMP_NTZ -> epoch ms, read as UTC wall time, whatever the session
+    zone.  The NTZ fields are reassembled as a UTC instant (``timestamp_diff``
+    would first cast both sides to session-zone timestamps)."""
+    ntz = c.cast("timestamp_ntz")
+    instant = F.make_timestamp(F.year(ntz), F.month(ntz), F.dayofmonth(ntz), F.hour(ntz), F.minute(ntz),
+                               F.extract(F.lit("SECOND"), ntz), F.lit("UTC"))
+    return F.floor(F.unix_micros(instant) / F.lit(1000)).cast("long")
 
 
 def topic_table(topic: Column) -> Column:

@@ -84,3 +84,13 @@ def test_kpi_sql_over_serving_view_equals_dataframe_api(spark):
         a = [tuple(r) for r in fn(oo).collect()]
         b = [tuple(r) for r in kpis.sql(spark, name, view).collect()]
         assert a == b, name
+
+
+def test_ntz_epoch_ms_ignores_session_zone(spark):
+    df = spark.sql("SELECT TIMESTAMP_NTZ'2024-07-01 12:34:56.789123' AS t, TIMESTAMP_NTZ'1969-12-31 23:59:59.999' AS u")
+    out = {}
+    for tz in ("UTC", "America/Los_Angeles"):
+        spark.conf.set("spark.sql.session.timeZone", tz)
+        out[tz] = tuple(df.select(convert.ntz_to_epoch_ms(F.col("t")), convert.ntz_to_epoch_ms(F.col("u"))).first())
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert out["UTC"] == out["America/Los_Angeles"] == (1719837296789, -1)
