@@ -93,7 +93,10 @@ def test_compaction_keeps_state(spark, tmp_base):
     jobs.run_once(spark, cfg, EV)
     before = _rows(jobs.read_silver(spark, cfg, EV))
     last = spark.read.parquet(cfg.silver_path(EV.name)).agg(F.max("_batch_id")).first()[0]
-    jobs.compact_silver(spark, cfg, EV, last)
+    jobs.compact_silver(spark, cfg, EV, last, grace_batches=1)
+    assert spark.read.parquet(cfg.silver_path(EV.name)).select("_batch_id").distinct().count() == 2
+    assert _rows(jobs.read_silver(spark, cfg, EV)) == before
+    jobs.compact_silver(spark, cfg, EV, last, grace_batches=0)
     assert spark.read.parquet(cfg.silver_path(EV.name)).select("_batch_id").distinct().count() == 1
     assert _rows(jobs.read_silver(spark, cfg, EV)) == before
 
@@ -189,3 +192,20 @@ def test_crash_after_write_then_restart_has_no_duplicates(spark, tmp_base):
     bronze = spark.read.parquet(cfg.bronze_path(EV.name))
     assert bronze.count() == bronze.select("offset").distinct().count() == 1000
     assert _rows(jobs.read_silver(spark, cfg, EV)) == _batch_state(spark)
+
+
+def test_gold_refreshes_on_item_only_changes(spark, tmp_base):
+    cfg = _cfg(tmp_base, max_files_per_trigger=100)
+    orders = fixtures.to_messages(fixtures.snapshot_changes(fixtures.order_rows(spark, SF0001), specs.ORDERS))
+    orders.drop("_batch_id").write.parquet(cfg.message_path)
+    jobs.run_once(spark, cfg, specs.ORDERS)
+    q = jobs.start_gold(spark, cfg)
+    q.awaitTermination()
+    assert spark.read.parquet(cfg.gold_path).count() == 0  # no items yet
+    items = fixtures.to_messages(fixtures.snapshot_changes(fixtures.order_item_rows(spark, SF0001),
+                                                           specs.ORDER_ITEMS))
+    items.drop("_batch_id").write.mode("append").parquet(cfg.message_path)
+    jobs.run_once(spark, cfg, specs.ORDER_ITEMS)  # only the items log changes
+    q = jobs.start_gold(spark, cfg)
+    q.awaitTermination()
+    assert spark.read.parquet(cfg.gold_path).count() == 4005
