@@ -24,11 +24,11 @@ def _batch_state(spark):
     return _rows(fold.current_state(bronze, EV))
 
 
-def _write_messages(spark, path, batch_filter=None):
+def _write_messages(spark, path, batch_filter=None, files=4):
     m = fixtures.user_event_messages(spark, SF0001)
     if batch_filter is not None:
         m = m.filter(batch_filter)
-    m.repartitionByRange(4, "offset").drop("_batch_id").write.mode("append").parquet(path)
+    m.repartitionByRange(files, "offset").drop("_batch_id").write.mode("append").parquet(path)
 
 
 def _cfg(base, **kw):
@@ -209,3 +209,12 @@ def test_gold_refreshes_on_item_only_changes(spark, tmp_base):
     q = jobs.start_gold(spark, cfg)
     q.awaitTermination()
     assert spark.read.parquet(cfg.gold_path).count() == 4005
+
+
+def test_compaction_inside_the_stream(spark, tmp_base):
+    cfg = _cfg(tmp_base, compact_every=2)
+    _write_messages(spark, cfg.message_path, files=8)
+    jobs.run_once(spark, cfg, EV)
+    batches = sorted(r[0] for r in spark.read.parquet(cfg.silver_path(EV.name)).select("_batch_id").distinct().collect())
+    assert batches == [4, 5, 6, 7]  # 8 micro-batches; compactions at 2, 4, 6 with a grace of 2
+    assert _rows(jobs.read_silver(spark, cfg, EV)) == _batch_state(spark)
