@@ -278,4 +278,4 @@ def q_open_orders_stream(spark, sf_dir):
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"gold refresh failed: {q.exception()}")
-    return spark.read.parquet(cfg.gold_path)
+    return jobs.read_gold(spark, cfg)
