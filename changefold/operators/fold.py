@@ -68,11 +68,12 @@ def event_states(changes_df: DataFrame, spec: TableSpec, keep: tuple[str, ...] =
         F.when(up, F.col("_seq")).alias("_first_seq"),
         F.col("op").alias("_last_op"),
         F.col("_seq").alias("_last_seq"),
+        *([F.when(up, F.col("after")).alias("_first_img")] if spec.sticky_columns else []),
     )
 
 
-def state_aggregates() -> list[Column]:
-    return [
+def state_aggregates(spec: TableSpec | None = None) -> list[Column]:
+    aggs = [
         F.max_by("_up_img", "_up_seq").alias("_up_img"),
         F.max("_up_seq").alias("_up_seq"),
         F.min_by("_first_created", "_first_seq").alias("_first_created"),
@@ -80,12 +81,15 @@ def state_aggregates() -> list[Column]:
         F.max_by("_last_op", "_last_seq").alias("_last_op"),
         F.max("_last_seq").alias("_last_seq"),
     ]
+    if spec is not None and spec.sticky_columns:
+        aggs.append(F.min_by("_first_img", "_first_seq").alias("_first_img"))
+    return aggs
 
 
 def merge_states(states: DataFrame, spec: TableSpec, by: tuple[str, ...] = ()) -> DataFrame:
     """Merge any number of partial states per key (``by`` adds grouping
     columns, e.g. a batch id)."""
-    return states.groupBy(*by, spec.key).agg(*state_aggregates())
+    return states.groupBy(*by, spec.key).agg(*state_aggregates(spec))
 
 
 def fold_changes(changes_df: DataFrame, spec: TableSpec, by: tuple[str, ...] = ()) -> DataFrame:
@@ -100,7 +104,8 @@ def materialize(states: DataFrame, spec: TableSpec, keep_state: bool = False) ->
     img = F.col("_up_img")
     cols = []
     for oc in spec.columns:
-        value = F.col(spec.key) if oc.source == spec.key else oc.convert(img[oc.source])
+        source_img = F.col("_first_img") if oc.name in spec.sticky_columns else img
+        value = F.col(spec.key) if oc.source == spec.key else oc.convert(source_img[oc.source])
         if oc.name in spec.on_delete:
             value = F.when(deleted, F.lit(spec.on_delete[oc.name])).otherwise(value)
         cols.append(value.alias(oc.name))

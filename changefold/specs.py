@@ -91,6 +91,9 @@ class TableSpec:
     on_delete: dict = field(default_factory=dict)
     # Column used only to lay out files (never part of the key).
     layout_column: str | None = None
+    # Silver columns that keep the value of the key's first upsert instead
+    # of following later updates (default: none, every column follows).
+    sticky_columns: tuple[str, ...] = ()
     topic_prefix: str = DEFAULT_TOPIC_PREFIX
 
     @property
@@ -207,6 +210,10 @@ USER_EVENTS = TableSpec(
     ),
 )
 
+# order_items as the source system updates it: only quantity follows later
+# updates; order_id and product_id keep their first values (for comparison).
+ORDER_ITEMS_FIRST_IDS = TableSpec(**{**ORDER_ITEMS.__dict__, "sticky_columns": ("order_id", "product_id")})
+
 REGISTRY: dict[str, TableSpec] = {s.name: s for s in (ORDERS, CUSTOMERS, PRODUCTS, ORDER_ITEMS, USER_EVENTS)}
 
 

@@ -120,6 +120,12 @@ def test_item_moves_to_new_order_and_renames_quantity(spark):
     assert (s[0].order_id, s[0].product_id, s[0].quantity) == (11, 21, 4)
 
 
+def test_item_ids_can_keep_first_values_like_the_source_system(spark):
+    items = [(_item("c", 1, 10, 20, 1), 1), (_item("u", 2, 11, 21, 4), 2)]
+    s = state_of(spark, items, specs.ORDER_ITEMS_FIRST_IDS).collect()
+    assert (s[0].order_id, s[0].product_id, s[0].quantity) == (10, 20, 4)
+
+
 def _product(key, price):
     image = {"product_id": key, "product_name": "p", "barcode": "1", "unity_price": price,
              "is_active": True, "updated_at": 1, "created_at": 1}
