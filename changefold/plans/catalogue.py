@@ -252,7 +252,7 @@ def q_cdc_state_stream(spark, sf_dir):
 
     base = fresh_dir(spark, "stream")
     cfg = StreamConfig(base_path=base, message_path=f"{base}/messages", available_now=True,
-                       max_files_per_trigger=1)
+                       message_files_per_trigger=1)
     msgs = fixtures.user_event_messages(spark, sf_dir)
     msgs.repartition("_batch_id").drop("_batch_id").write.parquet(cfg.message_path)
     jobs.run_once(spark, cfg, EVENTS)

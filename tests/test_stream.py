@@ -32,6 +32,7 @@ def _write_messages(spark, path, batch_filter=None, files=4):
 
 
 def _cfg(base, **kw):
+    kw.setdefault("message_files_per_trigger", 1)
     kw.setdefault("max_files_per_trigger", 1)
     return StreamConfig(base_path=base, message_path=f"{base}/messages", available_now=True, **kw)
 
@@ -102,7 +103,7 @@ def test_compaction_keeps_state(spark, tmp_base):
 
 
 def test_gold_from_streamed_silver(spark, tmp_base):
-    cfg = _cfg(tmp_base, max_files_per_trigger=100)
+    cfg = _cfg(tmp_base, max_files_per_trigger=100, message_files_per_trigger=100)
     fixtures.all_topic_messages(spark, SF0001).drop("_batch_id").write.parquet(cfg.message_path)
     for t in ("orders", "order_items"):
         jobs.run_once(spark, cfg, specs.REGISTRY[t])
@@ -140,7 +141,7 @@ def test_bootstrap_creates_empty_table(spark, tmp_base):
 
 
 def test_export_orders_by_order_date(spark, tmp_base):
-    cfg = _cfg(tmp_base, max_files_per_trigger=100)
+    cfg = _cfg(tmp_base, max_files_per_trigger=100, message_files_per_trigger=100)
     fixtures.to_messages(fixtures.snapshot_changes(fixtures.order_rows(spark, SF0001), specs.ORDERS)) \
         .drop("_batch_id").write.parquet(cfg.message_path)
     jobs.run_once(spark, cfg, specs.ORDERS)
@@ -195,7 +196,7 @@ def test_crash_after_write_then_restart_has_no_duplicates(spark, tmp_base):
 
 
 def test_gold_refreshes_on_item_only_changes(spark, tmp_base):
-    cfg = _cfg(tmp_base, max_files_per_trigger=100)
+    cfg = _cfg(tmp_base, max_files_per_trigger=100, message_files_per_trigger=100)
     orders = fixtures.to_messages(fixtures.snapshot_changes(fixtures.order_rows(spark, SF0001), specs.ORDERS))
     orders.drop("_batch_id").write.parquet(cfg.message_path)
     jobs.run_once(spark, cfg, specs.ORDERS)
