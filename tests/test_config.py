@@ -1,0 +1,37 @@
+"""Typed job configuration."""
+
+import pytest
+
+from changefold.session import scale_settings
+from changefold.streaming.config import StreamConfig
+
+
+def test_defaults_and_paths():
+    c = StreamConfig(base_path="/data/x")
+    assert (c.raw_trigger_seconds, c.silver_trigger_seconds, c.gold_trigger_seconds) == (10, 10, 20)
+    assert c.offsets_cap("orders") == 10_000 and c.offsets_cap("customers") == 2_000
+    assert c.bronze_path("orders") == "/data/x/bronze/orders"
+    assert c.dead_letter_path("orders") == "/data/x/dead_letter/orders"
+    assert c.checkpoint("raw", "orders") == "/data/x/_checkpoints/raw/orders"
+
+
+def test_bounds_are_checked():
+    with pytest.raises(ValueError):
+        StreamConfig(base_path="/x", raw_trigger_seconds=0)
+    with pytest.raises(ValueError):
+        StreamConfig(base_path="/x", max_offsets_per_trigger=-5)
+
+
+def test_from_env(monkeypatch):
+    monkeypatch.setenv("CHANGEFOLD_BASE_PATH", "/env/base")
+    monkeypatch.setenv("CHANGEFOLD_GOLD_TRIGGER_SECONDS", "45")
+    c = StreamConfig.from_env(kafka_bootstrap_servers="broker:9092")
+    assert c.base_path == "/env/base" and c.gold_trigger_seconds == 45
+    assert c.kafka_bootstrap_servers == "broker:9092"
+
+
+def test_scale_settings_grow_with_input():
+    small = scale_settings(40 * 2**20, 8)
+    big = scale_settings(100 * 2**40, 8000)
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (128 * 2**20)
