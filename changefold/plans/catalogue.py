@@ -210,6 +210,18 @@ def q_orders_snapshot_state(spark, sf_dir):
     return s.select("order_id", "order_date", "delivery_date", "customer_id", "status", "_deleted")
 
 
+@query("orders_lifecycle_state")
+def q_orders_lifecycle_state(spark, sf_dir):
+    """Every order's create/update events, newest delivered first, folded
+    into the silver orders table (incrementally, one batch per stage)."""
+    msgs = fixtures.to_messages(fixtures.order_lifecycle_changes(spark, sf_dir))
+    bronze = ingest.bronze(ingest.classify(msgs, specs.ORDERS))
+    s = fold.incremental_state(bronze, specs.ORDERS)
+    return s.select("order_id", "order_date", "delivery_date", "customer_id", "status",
+                    convert.timestamp_to_epoch_ms(F.col("updated_at")).alias("updated_at_ms"),
+                    convert.timestamp_to_epoch_ms(F.col("created_at")).alias("created_at_ms"), "_deleted")
+
+
 @query("products_snapshot_state")
 def q_products_snapshot_state(spark, sf_dir):
     """products snapshot (both price forms) through JSON + fold."""

@@ -186,3 +186,13 @@ FROM (
 GROUP BY table_name, "partition"
 """,
 })
+
+SQL.update({
+    "orders_lifecycle_state": with_ctes(S_ORDERS) + """
+SELECT order_id, order_date, delivery_date, customer_id, status,
+       CAST(epoch_ms(CAST(order_date AS TIMESTAMP)) AS BIGINT)
+         + CASE status WHEN 'COMPLETED' THEN 2 WHEN 'PENDING' THEN 0 ELSE 1 END * 3600000 AS updated_at_ms,
+       CAST(epoch_ms(CAST(order_date AS TIMESTAMP)) AS BIGINT) AS created_at_ms,
+       _deleted
+FROM s_orders""",
+})

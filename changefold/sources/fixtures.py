@@ -25,6 +25,10 @@ from changefold.functions import convert
 # Damaged messages, by event id, first match wins:
 #   multiple of 97 -> truncated JSON, of 101 -> no op field,
 #   of 103 -> ts_ms sent as text, of 89 -> null message value.
+# Order lifecycles: every order is created PENDING at midnight of its order
+#   date; O orders then move to their adapter status one hour later; F
+#   orders move to PROCESSING after one hour and to COMPLETED after two.
+#   Stages arrive in reverse: the last stage in batch 0 with the lowest offset.
 # Order item ids: order key * 1000 + rank of the line within its order.
 # Barcodes: the part key left-padded with zeros to 12 digits.
 # Customers: active when the account balance is >= 0; customer address is
@@ -196,6 +200,36 @@ def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snap.unionByName(dels)
 
 
+def order_lifecycle_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Create + update events of every order (see the fixed values above),
+    delivered newest first."""
+    spec = specs.ORDERS
+    rows = order_rows(spark, sf_dir)
+    final = F.col("status")
+    stages = (F.when(final == "COMPLETED", F.array(F.lit("PENDING"), F.lit("PROCESSING"), F.lit("COMPLETED")))
+              .when(final == "PENDING", F.array(F.lit("PENDING")))
+              .otherwise(F.array(F.lit("PENDING"), final)))
+    hour = 3_600_000
+    ev = rows.select("*", F.posexplode(stages).alias("stage", "stage_status"),
+                     F.size(stages).alias("n_stages"))
+    ts = F.col("created_at") + F.col("stage") * F.lit(hour)
+    image = F.struct(*[(F.col("stage_status") if f == "status" else ts if f == "updated_at" else F.col(f)).alias(f)
+                       for f in spec.row_schema.fieldNames()]).cast(spec.row_schema)
+    newest_first = F.col("n_stages") - 1 - F.col("stage")
+    return ev.select(
+        F.lit(None).cast(spec.row_schema).alias("before"),
+        image.alias("after"),
+        F.when(F.col("stage") == 0, F.lit("c")).otherwise(F.lit("u")).alias("op"),
+        ts.alias("ts_ms"),
+        _source_block(spec, ts, F.col("order_id") * 4 + F.col("stage"), F.lit("false")).alias("source"),
+        F.lit(spec.topic).alias("topic"),
+        F.pmod(F.col("order_id"), F.lit(TOPIC_PARTITIONS)).cast("int").alias("partition"),
+        (newest_first * F.lit(10**12).cast("long") + F.col("order_id")).alias("offset"),
+        F.timestamp_millis(ts).alias("timestamp"),
+        newest_first.cast("long").alias("_batch_id"),
+    )
+
+
 def product_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices alternate between the two wire forms: text for even keys,
     the scale + base64 object for odd keys."""
