@@ -222,6 +222,24 @@ def q_orders_lifecycle_state(spark, sf_dir):
                     convert.timestamp_to_epoch_ms(F.col("created_at")).alias("created_at_ms"), "_deleted")
 
 
+@query("orders_history")
+def q_orders_history(spark, sf_dir):
+    """Type-2 history of every order's status from its lifecycle events."""
+    msgs = fixtures.to_messages(fixtures.order_lifecycle_changes(spark, sf_dir))
+    h = history.history(ingest.bronze(ingest.classify(msgs, specs.ORDERS)), specs.ORDERS)
+    return h.select("order_id", "op", "status", "valid_from_ms", "valid_to_ms", "_deleted")
+
+
+@query("kpi_by_date_status_end_to_end")
+def q_kpi_end_to_end(spark, sf_dir):
+    """KPI 1 from change messages: order lifecycles and item snapshots ->
+    bronze -> silver folds -> open_orders -> open orders by date and status."""
+    orders = fold.current_state(ingest.bronze(ingest.classify(
+        fixtures.to_messages(fixtures.order_lifecycle_changes(spark, sf_dir)), specs.ORDERS)), specs.ORDERS)
+    items = snapshot_state(spark, fixtures.order_item_rows(spark, sf_dir), specs.ORDER_ITEMS)
+    return kpis.open_orders_by_date_status(gold.open_orders(orders, items))
+
+
 @query("products_snapshot_state")
 def q_products_snapshot_state(spark, sf_dir):
     """products snapshot (both price forms) through JSON + fold."""

@@ -196,3 +196,24 @@ SELECT order_id, order_date, delivery_date, customer_id, status,
        _deleted
 FROM s_orders""",
 })
+
+STAGES = """
+stages AS (
+  SELECT order_id, s.stage, s.status,
+         CAST(epoch_ms(CAST(order_date AS TIMESTAMP)) AS BIGINT) + s.stage * 3600000 AS ts_ms
+  FROM s_orders,
+       UNNEST(CASE status WHEN 'COMPLETED' THEN [{'stage': 0, 'status': 'PENDING'},
+                                                 {'stage': 1, 'status': 'PROCESSING'},
+                                                 {'stage': 2, 'status': 'COMPLETED'}]
+                          WHEN 'PENDING' THEN [{'stage': 0, 'status': 'PENDING'}]
+                          ELSE [{'stage': 0, 'status': 'PENDING'}, {'stage': 1, 'status': status}] END) AS t(s))"""
+
+SQL.update({
+    "orders_history": with_ctes(S_ORDERS, STAGES) + """
+SELECT order_id, CASE WHEN stage = 0 THEN 'c' ELSE 'u' END AS op, status,
+       ts_ms AS valid_from_ms,
+       lead(ts_ms) OVER (PARTITION BY order_id ORDER BY ts_ms) AS valid_to_ms,
+       false AS _deleted
+FROM stages""",
+    "kpi_by_date_status_end_to_end": SQL["kpi_open_orders_by_date_status"],
+})
