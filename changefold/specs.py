@@ -22,7 +22,9 @@ from changefold.functions import convert
 # Source block fields: version, connector, name, ts_ms, snapshot, db, schema,
 # table, txId, lsn, xmin.
 # Operation codes: c = create, u = update, r = snapshot read, d = delete.
+# Default topic names: "finance_db.operations.<table>" (configurable).
 # ---------------------------------------------------------------------------
+DEFAULT_TOPIC_PREFIX = "finance_db.operations"
 SOURCE_SCHEMA = T.StructType([
     T.StructField("version", T.StringType()),
     T.StructField("connector", T.StringType()),
@@ -49,8 +51,6 @@ MESSAGE_SCHEMA = T.StructType([
     T.StructField("timestamp", T.TimestampType()),
 ])
 
-DEFAULT_TOPIC_PREFIX = "finance_db.operations"
-
 AUDIT_FIELDS = [
     T.StructField("updated_at", T.LongType()),
     T.StructField("updated_by", T.LongType()),
