@@ -60,3 +60,45 @@ def test_hot_key_is_split_across_range_partitions(spark):
     hot_total = ch.filter("user_id = 1").count()
     assert hot_total >= N // 3 - 1
     assert biggest < hot_total / 2  # the hot key's events are spread over several tasks
+
+
+def test_gold_join_splits_a_hot_order(spark):
+    """One order holds a third of all items.  With broadcast off and the
+    skew thresholds scaled down to test size, AQE splits the hot order's
+    partition; the result stays exact."""
+    import datetime as dt
+    from changefold.operators import gold
+    from test_plans import plan
+
+    d = dt.date(2024, 1, 1)
+    n_items = 30000
+    orders = spark.createDataFrame([(o, d, "PENDING", 1, d, False) for o in range(1000)],
+                                   "order_id long, delivery_date date, status string, customer_id long, "
+                                   "order_date date, _deleted boolean")
+    items = spark.range(n_items).select(
+        F.col("id").alias("order_item_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).alias("order_id"),
+        F.lit(1).cast("long").alias("product_id"), F.lit(1).alias("quantity"), F.lit(False).alias("_deleted"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        oo = gold.open_orders(orders, items)
+        assert oo.count() == n_items
+        hot = items.filter("order_id = 7").count()
+        assert hot > n_items // 3 and oo.filter("order_id = 7").count() == hot
+        oo._jdf.queryExecution().toRdd().count()  # run this plan itself, so AQE finalises it
+        p = plan(oo)
+        assert "isFinalPlan=true" in p and "skew=true" in p
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
