@@ -219,3 +219,18 @@ def test_compaction_inside_the_stream(spark, tmp_base):
     batches = sorted(r[0] for r in spark.read.parquet(cfg.silver_path(EV.name)).select("_batch_id").distinct().collect())
     assert batches == [4, 5, 6, 7]  # 8 micro-batches; compactions at 2, 4, 6 with a grace of 2
     assert _rows(jobs.read_silver(spark, cfg, EV)) == _batch_state(spark)
+
+
+def test_run_all_records_metrics_table(spark, tmp_base):
+    cfg = _cfg(tmp_base, max_files_per_trigger=100, message_files_per_trigger=100)
+    fixtures.all_topic_messages(spark, SF0001).drop("_batch_id").write.parquet(cfg.message_path)
+    rec = jobs.run_all(spark, cfg, tables=("orders", "order_items"), metrics_path=f"{tmp_base}/metrics",
+                       flush_seconds=1)
+    assert jobs.read_gold(spark, cfg).count() == 4005
+    for _ in range(50):  # listener events arrive asynchronously
+        if store.exists(spark, f"{tmp_base}/metrics"):
+            break
+        time.sleep(0.2)
+        rec.flush(spark, f"{tmp_base}/metrics")
+    names = {r.query for r in spark.read.parquet(f"{tmp_base}/metrics").select("query").distinct().collect()}
+    assert names & {"raw_orders", "raw_order_items", "logistics_orders", "logistics_order_items", "analytical_kpis"}
