@@ -1,0 +1,33 @@
+"""Known answers at sf0.001 (FIXTURES.md §5)."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from changefold.plans import catalogue
+
+from conftest import SF0001
+
+
+def q(spark, name):
+    return entry.queries()[name](spark, SF0001)
+
+
+def test_gold_and_kpis(spark):
+    assert q(spark, "open_orders").count() == 4005
+    assert q(spark, "open_orders").select("order_id").distinct().count() == 989
+    assert q(spark, "kpi_open_orders_by_date_status").count() == 898
+    assert tuple(q(spark, "kpi_top_delivery_dates").first()) == (dt.date(1995, 6, 29), 4)
+    k3 = q(spark, "kpi_pending_items_by_product")
+    assert k3.count() == 200 and tuple(k3.first()) == (43, 19)
+    assert [tuple(r) for r in q(spark, "kpi_top_customers_pending").collect()] == [(19, 11), (26, 9), (42, 7)]
+
+
+def test_change_log_and_state(spark):
+    b = catalogue.events_bronze(spark, SF0001)
+    ops = {r.op: r["count"] for r in b.groupBy("op").count().collect()}
+    assert ops == {"c": 199, "d": 201, "r": 202, "u": 398}
+    s = q(spark, "cdc_state")
+    assert s.count() == 15 and s.filter("_deleted").count() == 3
+    assert b.filter(F.col("op") == "d").select("_batch_id").distinct().count() == 1
