@@ -69,3 +69,12 @@ def test_history_has_no_window_over_the_bare_key(spark):
     bronze = ingest.bronze(ingest.classify(fixtures.user_event_messages(spark, SF0001), EV))
     p = plan(history.history(bronze, EV))
     assert "hashpartitioning(_pid" in p  # windows run per (range partition, key)
+
+
+def test_each_message_is_parsed_once(spark):
+    """from_json appears once in the optimized bronze plan, although the
+    bronze filter reads many payload fields (Q11: one pass per batch)."""
+    msgs = spark.createDataFrame([], "value binary, topic string, partition int, offset long, timestamp timestamp")
+    b = ingest.bronze(ingest.classify(msgs, EV))
+    opt = plan(b, "extended").split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert opt.count("from_json(") == 1
