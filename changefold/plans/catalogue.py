@@ -17,7 +17,7 @@ from changefold import specs
 from changefold.functions import convert
 from changefold.operators import fold, gold, history, ingest, kpis, maintain
 from changefold.session import fresh_dir, prepare
-from changefold.sources import fixtures
+from changefold.sources import fixtures, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -284,7 +284,7 @@ def q_cdc_state_stream(spark, sf_dir):
     cfg = StreamConfig(base_path=base, message_path=f"{base}/messages", available_now=True,
                        message_files_per_trigger=1)
     msgs = fixtures.user_event_messages(spark, sf_dir)
-    msgs.repartition("_batch_id").drop("_batch_id").write.parquet(cfg.message_path)
+    store.write_messages(msgs.repartition("_batch_id").drop("_batch_id"), cfg.message_path)
     jobs.run_once(spark, cfg, EVENTS)
     return present_state(jobs.read_silver(spark, cfg, EVENTS))
 
@@ -306,8 +306,8 @@ def q_open_orders_stream(spark, sf_dir):
     (snaps.drop("_batch_id").repartitionByRange(2, "offset")
      .withColumn("_round", F.spark_partition_id()).write.partitionBy("_round").parquet(staging))
     for arrival in range(2):
-        (spark.read.parquet(staging).filter(F.col("_round") == arrival).drop("_round")
-         .write.mode("append").parquet(cfg.message_path))
+        store.write_messages(spark.read.parquet(staging).filter(F.col("_round") == arrival).drop("_round"),
+                             cfg.message_path)
         for spec in (specs.ORDERS, specs.ORDER_ITEMS):
             jobs.run_once(spark, cfg, spec)
         q = jobs.start_gold(spark, cfg)
