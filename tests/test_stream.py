@@ -234,3 +234,18 @@ def test_run_all_records_metrics_table(spark, tmp_base):
         rec.flush(spark, f"{tmp_base}/metrics")
     names = {r.query for r in spark.read.parquet(f"{tmp_base}/metrics").select("query").distinct().collect()}
     assert names & {"raw_orders", "raw_order_items", "logistics_orders", "logistics_order_items", "analytical_kpis"}
+
+
+def test_all_four_tables_through_the_streams(spark, tmp_base):
+    cfg = _cfg(tmp_base, max_files_per_trigger=100, message_files_per_trigger=100)
+    store.write_messages(fixtures.all_topic_messages(spark, SF0001).drop("_batch_id"), cfg.message_path)
+    jobs.run_all(spark, cfg)  # orders, customers, products, order_items + gold
+    cust = jobs.read_silver(spark, cfg, specs.CUSTOMERS)
+    negative = fixtures.read_table(spark, SF0001, "customer").filter("c_acctbal < 0").count()
+    assert cust.count() == fixtures.read_table(spark, SF0001, "customer").count()
+    assert cust.filter("_deleted AND NOT is_active").count() == negative > 0
+    prod = {r.product_id: float(r.unity_price) for r in jobs.read_silver(spark, cfg, specs.PRODUCTS).collect()}
+    want = {r.p_partkey: round(r.p_retailprice, 2)
+            for r in fixtures.read_table(spark, SF0001, "part").collect()}
+    assert prod == want  # both wire forms of the price decode to the same value
+    assert jobs.read_gold(spark, cfg).count() == 4005
