@@ -94,6 +94,13 @@ class TableSpec:
     # Silver columns that keep the value of the key's first upsert instead
     # of following later updates (default: none, every column follows).
     sticky_columns: tuple[str, ...] = ()
+    # Row-image field that orders rows inside silver log files, so Parquet
+    # min/max statistics can skip row groups on range filters (default: key).
+    cluster_field: str | None = None
+
+    @property
+    def cluster(self) -> str:
+        return self.cluster_field or self.key
     topic_prefix: str = DEFAULT_TOPIC_PREFIX
 
     @property
@@ -190,6 +197,8 @@ ORDER_ITEMS = TableSpec(
         OutputColumn("product_id", "product_id"),
         OutputColumn("quantity", "quanity"),
     ),
+    # Gold looks items up by order: keep an order's item states together.
+    cluster_field="order_id",
 )
 
 # A keyed table without audit columns: the driver's ``events`` replayed as
