@@ -218,7 +218,12 @@ def test_compaction_inside_the_stream(spark, tmp_base):
     jobs.run_once(spark, cfg, EV)
     batches = sorted(r[0] for r in spark.read.parquet(cfg.silver_path(EV.name)).select("_batch_id").distinct().collect())
     assert batches == [4, 5, 6, 7]  # 8 micro-batches; compactions at 2, 4, 6 with a grace of 2
+    assert store.complete_versions(spark, cfg.silver_base_path(EV.name)) == [4, 6]
     assert _rows(jobs.read_silver(spark, cfg, EV)) == _batch_state(spark)
+    # base v=6 + log batch 7: the newer keys are broadcast, the base is not shuffled
+    from test_plans import plan
+    p = plan(jobs.read_silver(spark, cfg, EV))
+    assert "BroadcastHashJoin LeftAnti" in p and "BroadcastHashJoin LeftSemi" in p
 
 
 def test_run_all_records_metrics_table(spark, tmp_base):
