@@ -224,6 +224,11 @@ def test_compaction_inside_the_stream(spark, tmp_base):
     from test_plans import plan
     p = plan(jobs.read_silver(spark, cfg, EV))
     assert "BroadcastHashJoin LeftAnti" in p and "BroadcastHashJoin LeftSemi" in p
+    # above the limit the same read is one full merge, with the same result
+    from dataclasses import replace
+    full = jobs.read_silver(spark, replace(cfg, merge_delta_limit=0), EV)
+    assert "BroadcastHashJoin LeftAnti" not in plan(full)
+    assert _rows(full) == _batch_state(spark)
 
 
 def test_run_all_records_metrics_table(spark, tmp_base):
