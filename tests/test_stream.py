@@ -2,6 +2,8 @@
 
 import time
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from changefold import specs
@@ -195,8 +197,9 @@ def test_crash_after_write_then_restart_has_no_duplicates(spark, tmp_base):
     assert _rows(jobs.read_silver(spark, cfg, EV)) == _batch_state(spark)
 
 
-def test_gold_refreshes_on_item_only_changes(spark, tmp_base):
-    cfg = _cfg(tmp_base, max_files_per_trigger=100, message_files_per_trigger=100)
+@pytest.mark.parametrize("limit,mode", [(1_000_000, "incremental"), (1, "full")])
+def test_gold_refreshes_on_item_only_changes(spark, tmp_base, limit, mode):
+    cfg = _cfg(tmp_base, max_files_per_trigger=100, message_files_per_trigger=100, gold_delta_limit=limit)
     orders = fixtures.to_messages(fixtures.snapshot_changes(fixtures.order_rows(spark, SF0001), specs.ORDERS))
     store.write_messages(orders.drop("_batch_id"), cfg.message_path)
     jobs.run_once(spark, cfg, specs.ORDERS)
@@ -210,6 +213,7 @@ def test_gold_refreshes_on_item_only_changes(spark, tmp_base):
     q = jobs.start_gold(spark, cfg)
     q.awaitTermination()
     assert jobs.read_gold(spark, cfg).count() == 4005
+    assert jobs.GOLD_METRICS[-1]["mode"] == mode  # above the delta limit: full recompute
 
 
 def test_compaction_inside_the_stream(spark, tmp_base):
