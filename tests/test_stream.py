@@ -263,3 +263,20 @@ def test_all_four_tables_through_the_streams(spark, tmp_base):
             for r in fixtures.read_table(spark, SF0001, "part").collect()}
     assert prod == want  # both wire forms of the price decode to the same value
     assert jobs.read_gold(spark, cfg).count() == 4005
+
+
+def test_compaction_purges_old_soft_deletes(spark, tmp_base):
+    cfg = _cfg(tmp_base)
+    _write_messages(spark, cfg.message_path)
+    jobs.run_once(spark, cfg, EV)
+    before = jobs.read_silver(spark, cfg, EV).collect()  # read before the old log is deleted
+    deleted = [r for r in before if r._deleted]
+    assert deleted
+    ms = {r.user_id: int(r.updated_at.timestamp() * 1000) for r in deleted}
+    cutoff = sorted(ms.values())[len(ms) // 2]  # purge the older half
+    last = spark.read.parquet(cfg.silver_path(EV.name)).agg(F.max("_batch_id")).first()[0]
+    jobs.compact_silver(spark, cfg, EV, last, grace_batches=0, purge_deleted_before_ms=cutoff)
+    after = {r.user_id for r in jobs.read_silver(spark, cfg, EV).collect()}
+    purged = {k for k, v in ms.items() if v < cutoff}
+    assert purged and not (purged & after)
+    assert after == {r.user_id for r in before} - purged
