@@ -49,11 +49,10 @@ def q_open_orders(spark, sf_dir):
 
 
 def _kpi(name: str, fn):
-    @query(name)
     def q(spark, sf_dir):
         return fn(open_orders_of(spark, sf_dir))
-    q.__doc__ = fn.__doc__
-    return q
+    q.__doc__ = f"KPI ``{fn.__name__}`` over the gold table built from the silver snapshots."
+    return query(name)(q)
 
 
 for _name, _fn in kpis.ALL.items():

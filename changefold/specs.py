@@ -7,7 +7,7 @@ silver row.  Adding a table means adding one spec; no code is per table.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Callable
 
 from pyspark.sql import Column
@@ -221,7 +221,7 @@ USER_EVENTS = TableSpec(
 
 # order_items as the source system updates it: only quantity follows later
 # updates; order_id and product_id keep their first values (for comparison).
-ORDER_ITEMS_FIRST_IDS = TableSpec(**{**ORDER_ITEMS.__dict__, "sticky_columns": ("order_id", "product_id")})
+ORDER_ITEMS_FIRST_IDS = replace(ORDER_ITEMS, sticky_columns=("order_id", "product_id"))
 
 REGISTRY: dict[str, TableSpec] = {s.name: s for s in (ORDERS, CUSTOMERS, PRODUCTS, ORDER_ITEMS, USER_EVENTS)}
 
