@@ -313,4 +313,7 @@ def q_open_orders_stream(spark, sf_dir):
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(f"gold refresh failed: {q.exception()}")
-    return jobs.read_gold(spark, cfg)
+    out = jobs.read_gold(spark, cfg)
+    if out is None:
+        raise RuntimeError("the gold stream wrote no version")
+    return out
