@@ -288,6 +288,32 @@ def q_cdc_state_stream(spark, sf_dir):
     return present_state(jobs.read_silver(spark, cfg, EVENTS))
 
 
+@query("orders_state_stateful_stream")
+def q_orders_state_stateful_stream(spark, sf_dir):
+    """Order lifecycles as messages (newest first, 4 files) -> raw stream ->
+    silver as a stateful streaming aggregation (state store, update mode)
+    -> silver orders."""
+    from changefold.streaming import jobs
+    from changefold.streaming.config import StreamConfig
+
+    base = fresh_dir(spark, "stream-stateful")
+    # The default state store: a registered query leaves the session's
+    # state-store setting alone.
+    cfg = StreamConfig(base_path=base, message_path=f"{base}/messages", available_now=True,
+                       message_files_per_trigger=1, state_store="default")
+    msgs = fixtures.to_messages(fixtures.order_lifecycle_changes(spark, sf_dir))
+    store.write_messages(msgs.repartitionByRange(4, "_batch_id", "offset").drop("_batch_id"), cfg.message_path)
+    for start in (jobs.start_raw, jobs.start_silver_stateful):
+        q = start(spark, cfg, specs.ORDERS)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(f"{q.name} failed: {q.exception()}")
+    s = jobs.read_silver(spark, cfg, specs.ORDERS)
+    return s.select("order_id", "order_date", "delivery_date", "customer_id", "status",
+                    convert.timestamp_to_epoch_ms(F.col("updated_at")).alias("updated_at_ms"),
+                    convert.timestamp_to_epoch_ms(F.col("created_at")).alias("created_at_ms"), "_deleted")
+
+
 @query("open_orders_stream")
 def q_open_orders_stream(spark, sf_dir):
     """orders and lineitem snapshots as broker messages arriving in two

@@ -217,3 +217,5 @@ SELECT order_id, CASE WHEN stage = 0 THEN 'c' ELSE 'u' END AS op, status,
 FROM stages""",
     "kpi_by_date_status_end_to_end": SQL["kpi_open_orders_by_date_status"],
 })
+
+SQL["orders_state_stateful_stream"] = SQL["orders_lifecycle_state"]
