@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from changefold.functions import convert
@@ -107,3 +109,16 @@ def test_clustered_compaction_lets_filters_skip_files(spark, tmp_base):
     # PENDING is about a third of the orders: over 8 range partitions it can
     # touch at most ceil(8/3) + 1 = 4 files, the others are skipped
     assert files >= 6 and pending <= 4 < files
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.integers(-9_999_999_999, 9_999_999_999), min_size=1, max_size=40))
+def test_decimal_wire_forms_round_trip(spark, unscaled):
+    """Both wire forms decode to the same DECIMAL(10,2) for any value in range."""
+    import decimal
+    vals = [decimal.Decimal(u).scaleb(-2) for u in unscaled]
+    df = spark.createDataFrame([(v,) for v in vals], "d decimal(12,2)").select(F.col("d").cast("decimal(10,2)").alias("d"))
+    out = df.select("d",
+                    convert.wire_decimal(convert.decimal_to_wire_object(F.col("d"))).alias("obj"),
+                    convert.wire_decimal(F.col("d").cast("string")).alias("txt")).collect()
+    assert all(r.obj == r.d == r.txt for r in out)
