@@ -7,11 +7,11 @@ aggregate of the key's events under the total order
 =====================  ==================================================
 state column           aggregate over the key's events
 =====================  ==================================================
-``_up_img``            row image of the last upsert (``max_by`` on seq)
+``_up_img``            row image of the last upsert (``max`` of struct(seq, image))
 ``_up_seq``            seq of the last upsert
-``_first_created``     ``created_at`` of the first upsert (``min_by``)
+``_first_created``     ``created_at`` of the first upsert (``min`` of struct(seq, created_at))
 ``_first_seq``         seq of the first upsert
-``_last_op``           op of the last event
+``_last_op``           op of the last event (``max`` of struct(seq, op))
 ``_last_seq``          seq of the last event
 =====================  ==================================================
 
@@ -72,24 +72,29 @@ def event_states(changes_df: DataFrame, spec: TableSpec, keep: tuple[str, ...] =
     )
 
 
-def state_aggregates(spec: TableSpec | None = None) -> list[Column]:
-    aggs = [
-        F.max_by("_up_img", "_up_seq").alias("_up_img"),
-        F.max("_up_seq").alias("_up_seq"),
-        F.min_by("_first_created", "_first_seq").alias("_first_created"),
-        F.min("_first_seq").alias("_first_seq"),
-        F.max_by("_last_op", "_last_seq").alias("_last_op"),
-        F.max("_last_seq").alias("_last_seq"),
-    ]
-    if spec is not None and spec.sticky_columns:
-        aggs.append(F.min_by("_first_img", "_first_seq").alias("_first_img"))
-    return aggs
-
-
 def merge_states(states: DataFrame, spec: TableSpec, by: tuple[str, ...] = ()) -> DataFrame:
     """Merge any number of partial states per key (``by`` adds grouping
-    columns, e.g. a batch id)."""
-    return states.groupBy(*by, spec.key).agg(*state_aggregates(spec))
+    columns, e.g. a batch id).
+
+    Each state pair (value, seq) is merged as one ``max``/``min`` over
+    ``struct(seq, value)``: structs compare field by field, so the seq
+    decides and the shuffle carries each seq once per pair (``max_by`` plus
+    ``max`` would carry it twice).  Ties (the same event delivered twice)
+    resolve by value, deterministically."""
+    first_fields = [F.col("_first_seq"), F.col("_first_created")]
+    if spec.sticky_columns:
+        first_fields.append(F.col("_first_img"))
+    up = F.when(F.col("_up_seq").isNotNull(), F.struct(F.col("_up_seq"), F.col("_up_img")))
+    first = F.when(F.col("_first_seq").isNotNull(), F.struct(*first_fields))
+    last = F.struct(F.col("_last_seq"), F.col("_last_op"))
+    merged = states.groupBy(*by, spec.key).agg(F.max(up).alias("_u"), F.min(first).alias("_f"),
+                                                F.max(last).alias("_l"))
+    cols = [F.col("_u._up_img").alias("_up_img"), F.col("_u._up_seq").alias("_up_seq"),
+            F.col("_f._first_created").alias("_first_created"), F.col("_f._first_seq").alias("_first_seq"),
+            F.col("_l._last_op").alias("_last_op"), F.col("_l._last_seq").alias("_last_seq")]
+    if spec.sticky_columns:
+        cols.append(F.col("_f._first_img").alias("_first_img"))
+    return merged.select(*by, spec.key, *cols)
 
 
 def fold_changes(changes_df: DataFrame, spec: TableSpec, by: tuple[str, ...] = ()) -> DataFrame:
