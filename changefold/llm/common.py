@@ -91,3 +91,73 @@ def code_points(values: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """All texts as one array of code points, and where each begins (one more entry for the end)."""
     lengths = np.fromiter(map(len, values), np.int64, len(values))
     return np.frombuffer("".join(values).encode("utf-32-le", "surrogatepass"), np.uint32), np.concatenate([[0], np.cumsum(lengths)])
+
+
+def with_text(docs: DataFrame, changed: DataFrame, text: str = "text") -> DataFrame:
+    """`changed` has the rows of `docs` with another text: n_chars follows it, the columns stay in order."""
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        changed = changed.withColumn("n_chars", F.length(text).cast(kind))
+    return changed.select(*docs.columns)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of unsigned 64-bit numbers that spreads their bits."""
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+_BASE = 0x9E3779B97F4A7C15
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64, for at least n places."""
+    size = 1 << max(16, (n - 1).bit_length())
+    if size not in _POWERS:
+        _POWERS.clear()
+        inverse = pow(_BASE, -1, 1 << 64)
+        _POWERS[size] = tuple(np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, p, np.uint64)])) for p in (_BASE, inverse))
+    return _POWERS[size]
+
+
+class Prefix:
+    """Polynomial prefix sums of bytes: the hash of any substring in constant time, vectorised over substrings."""
+
+    def __init__(self, data: np.ndarray):
+        up, self.down = _powers(len(data) + 1)
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=self.sums[1:])
+
+    def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mixed((self.sums[end] - self.sums[start]) * self.down[start])
+
+
+def byte_texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All texts of a string column as one array of bytes, and the place where each begins, with one more for the end."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8) if len(column) else np.zeros(1, np.int64)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return data, offsets - offsets[0]
+
+
+_WORD_BYTE = np.ones(256, bool)
+_WORD_BYTE[[9, 10, 11, 12, 13, 32]] = False
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words (runs of other than ASCII white space) of all texts, and how many each text has."""
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = _WORD_BYTE[data]
+    starts = inside[1:-1] & ~inside[:-2]
+    first = offsets[:-1][offsets[:-1] < offsets[1:]]
+    starts[first] = inside[1:-1][first]  # a text begins a word even if the one before ends without white space
+    start = np.flatnonzero(starts)
+    ends = inside[1:-1] & ~inside[2:]
+    last = offsets[1:][offsets[:-1] < offsets[1:]] - 1
+    ends[last] = inside[1:-1][last]
+    end = np.flatnonzero(ends) + 1
+    return start, end, np.diff(np.searchsorted(start, offsets))
