@@ -4,12 +4,14 @@ answers back to the text.
 A row for each hash would be many times the size of the texts.  Here the hashes of a block of texts travel as one
 binary value for each bucket of the hash space, four or eight bytes a hash; a bucket's task sees all of them, and
 answers with one byte for each in the order they came.  Blocks are runs of rows of a file scan, named by row number,
-so the second pass finds the same blocks; the hashes themselves are computed again, not kept.
+so the second pass finds the same blocks; the hashes themselves are computed again, not kept.  Blocks grow with the
+number of buckets, so the binary values stay long and their number follows the input.
 """
 
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,18 +21,20 @@ from pyspark.sql import functions as F
 
 from . import common
 
-BLOCK_BITS = 6
+#: Rows of a block for each bucket, and at least.
+BLOCK_ROWS = 64
 ANSWERS = "block long, seq long, bucket int, codes binary"
 ASKED = "bucket int, block long, seq long, items binary"
 
 
 def numbered(df: DataFrame) -> DataFrame:
     """Adds rid and block.  `df` must be a plain read of files, whose rows have the same numbers in every pass."""
-    return df.withColumn("rid", F.monotonically_increasing_id()).withColumn("block", F.shiftright("rid", BLOCK_BITS))
+    bits = max(BLOCK_ROWS, buckets(df.sparkSession) - 1).bit_length() - (0 if buckets(df.sparkSession) > BLOCK_ROWS else 1)
+    return df.withColumn("rid", F.monotonically_increasing_id()).withColumn("block", F.shiftright("rid", bits))
 
 
 def buckets(spark: SparkSession) -> int:
-    return 4 * common.partitions(spark)
+    return common.partitions(spark)
 
 
 def parts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, pa.RecordBatch]]:
@@ -122,5 +126,7 @@ def together(df: DataFrame, answers: DataFrame, run: Callable[[pa.RecordBatch, p
 
 def release(spark: SparkSession) -> None:
     """Lets Spark drop the shuffle files of finished jobs now: they go when the driver collects its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # what the first finds may hold on to more
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)

@@ -4,16 +4,15 @@
    idf = 1 + ln(N / df) / ln(N), between 1 and 2.  Document frequencies come from the exchange: every shingle of
    every text is counted, over whole texts.
 2. ICWS draws BANDS * ROWS samples: two texts agree in a sample with a probability that is their weighted Jaccard
-   similarity.  Texts that agree in all rows of a band meet in a bucket (16 bands of 3: a pair at 0.8 misses all of
-   them once in 100,000).
+   similarity.  Texts that agree in all rows of a band meet in a bucket (27 bands of 5: a pair at 0.8 misses all of
+   them twice in 100,000; texts that share a third of their weight meet in a band four times in 1000).
 3. Equal texts are one representative from here on.  In each bucket the first member is a pivot; the others are
-   verified against it by exact weighted Jaccard similarity on whole texts; those that are not similar choose the next
-   pivot among themselves, until none is left.  There is no bound on members, pivots or rounds, and no list of all
-   pairs of a bucket.
+   verified against it by exact weighted Jaccard similarity on whole texts.  Those that are not similar choose pivots
+   among themselves, four times as many in each round, until none is left.  Members, pivots and rounds have no bound.
 4. Verified links are joined to classes by their smallest member, over saved tables.
 
 A pair alone in a bucket is always compared.  In a larger bucket a text that is linked to a pivot is not compared with
-the others there; the bands order their members differently, so it meets other pivots in other buckets.
+the others there; other buckets hold other members, so it meets other pivots.
 
 Null text counts as empty; empty texts are copies of each other and near nothing else.  Null ids are kept, and are the
 class id only if no member has an id.  Repeated rows are copies.  An empty table gives no rows.
@@ -21,15 +20,17 @@ class id only if no member has an id.  Repeated rows are copies.  An empty table
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common, exchange
 
 SHINGLE = 5
-BANDS, ROWS = 16, 3
+BANDS, ROWS = 27, 5
 SIMILARITY = 0.8
 #: Steps of the stored document frequency for each doubling.
 STEPS = 4
@@ -105,7 +106,7 @@ def bands(h: np.ndarray, weight: np.ndarray, count: np.ndarray, n_bands: int = B
         least = np.minimum.reduceat(log_a, starts)
         sample = common.mixed(h ^ (t.astype(np.int64).view(np.uint64) << np.uint64(40)) ^ np.uint64(k))
         sample[log_a != least[own]] = np.uint64(2**64 - 1)
-        out[:, k // rows] = common.mixed(out[:, k // rows] * np.uint64(31) + np.minimum.reduceat(sample, starts))
+        out[:, k // rows] = common.mixed(out[:, k // rows] * np.uint64(31) + np.minimum.reduceat(sample, starts) + np.uint64(k))
     return out
 
 
@@ -160,41 +161,39 @@ def verified(pairs: DataFrame, candidates: DataFrame, docs: int, least: float =
 
 
 def links(members: DataFrame, candidates: DataFrame, docs: int, least: float = SIMILARITY) -> DataFrame:
-    """Verified links (rid, pivot) of all buckets (members: band, bucket, rid)."""
-    found = None
-    left = members
+    """Verified links (rid, pivot) of all buckets (members: bucket, rid)."""
+    found, left, pivots = [], members.withColumn("order", F.xxhash64("rid")), 1
     while True:
-        # Each band orders its members its own way, so a text meets different pivots.
-        pivots = left.groupBy("band", "bucket").agg(F.min_by("rid", F.struct(F.xxhash64("rid", "band"), "rid")).alias("pivot"), F.count("*").alias("n")).filter("n > 1").drop("n")
-        tested = common.saved(left.join(pivots, ["band", "bucket"]).filter("rid != pivot"), "near-dup-members")
+        # The limit on the row number is applied to each task's rows of a bucket before they are shuffled.
+        first = F.row_number().over(Window.partitionBy("bucket").orderBy("order", "rid"))
+        chosen = left.withColumn("n", first).filter(F.col("n") <= pivots).select("bucket", F.col("rid").alias("pivot"), F.col("order").alias("before"))
+        tested = common.saved(left.join(chosen, "bucket").filter(F.struct("before", "pivot") < F.struct("order", "rid")), "near-dup-members")
         if tested.isEmpty():
             break
         result = common.saved(verified(tested.select("rid", "pivot").distinct(), candidates, docs, least), "near-dup-links")
-        near = result.filter("near").select("rid", "pivot")
-        found = near if found is None else found.unionAll(near)
-        left = tested.join(result.filter("NOT near").select("rid", "pivot"), ["rid", "pivot"]).select("band", "bucket", "rid")
+        found.append(result.filter("near").select("rid", "pivot"))
+        near = tested.join(found[-1], ["rid", "pivot"]).select("bucket", "rid")
+        done = near.unionAll(chosen.select("bucket", F.col("pivot").alias("rid")))
+        left = common.saved(left.join(done, ["bucket", "rid"], "left_anti"), "near-dup-left")
+        pivots *= 4
         exchange.release(members.sparkSession)
-    return found if found is not None else members.select("rid", F.col("rid").alias("pivot")).limit(0)
+    return reduce(DataFrame.unionAll, found) if found else members.select("rid", F.col("rid").alias("pivot")).limit(0)
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node, root: every node of the links and the smallest node it is joined to.  Large-star and small-star steps in
-    turn, each a shuffle by node with a partial minimum; edges are saved between steps."""
-    both = lambda e: e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    turn, each a shuffle by node with a partial minimum; edges are saved after both."""
     now = common.saved(edges.toDF("u", "v").filter("u != v").distinct(), "components")
     while True:
-        around = both(now)
+        around = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = around.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
-        large = common.saved(large, "components")
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        low = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = down.join(low, "u")
-        nxt = common.saved(small.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").unionAll(low.select("u", F.col("m").alias("v"))).distinct(), "components")
-        same = nxt.count() == now.count() and nxt.exceptAll(now).isEmpty()
-        now = nxt
-        if same:
-            return now.toDF("node", "root")
+        large = around.join(least, "u").filter("v > u AND v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        after = common.saved(small.unionAll(low.select("u", F.col("m").alias("v"))).distinct(), "components")
+        if after.count() == now.count() and after.exceptAll(now).isEmpty():
+            return after.toDF("node", "root")
+        now = after
 
 
 def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
@@ -206,9 +205,10 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: fl
     made = common.saved(sketches(rows, docs), "near-dup-sketches")
     exchange.release(spark)
     copies = common.saved(made.groupBy("key").agg(F.min("rid").alias("rep"), F.min("doc_id").alias("least"), F.min_by("bands", "rid").alias("bands")), "near-dup-copies")
-    spread = copies.select(F.col("rep").alias("rid"), F.posexplode("bands").alias("band", "bucket"))
-    shared = spread.groupBy("band", "bucket").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    members = common.saved(spread.join(shared, ["band", "bucket"]), "near-dup-buckets")
+    # A band's number is in its hash, so the hash alone names the bucket.
+    spread = copies.select(F.col("rep").alias("rid"), F.explode("bands").alias("bucket"))
+    shared = spread.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    members = common.saved(spread.join(shared, "bucket"), "near-dup-buckets")
     candidates = common.saved(made.select("rid", "text", "codes").join(members.select("rid").distinct(), "rid", "left_semi"), "near-dup-candidates")
     exchange.release(spark)
     roots = components(links(members, candidates, docs, least))
