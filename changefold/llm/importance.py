@@ -1,14 +1,14 @@
 """Quality classifier by importance resampling over hashed n-grams.
 
 Two generative models over hashed unigrams and bigrams of words and signs: the target model is counted on labelled
-documents of good quality that are not toxic (a bounded sample, TARGET_DOCS), the raw model on every document of the
+documents of good quality that are not toxic (half of a bounded sample, TARGET_DOCS), the raw model on every document of the
 corpus.  A document's log importance weight is the sum of log(target / raw) over its n-grams, tempered to the mean
 times the square root of their number, so that length alone does not decide.  With Gumbel noise (a hash of the id and
 a seed, so a retry repeats it) added to the weight, the k largest keys are a sample of k documents without
 replacement, drawn in proportion to the weights.
 
-k is the number of documents whose weight is at least the TARGET_LOSS quantile of the labelled target documents'
-weights: a feature of the operator, not a cap; `keep` sets another k.  The k-th key is found by counting keys in ever
+k is the number of documents whose weight is at least the TARGET_LOSS quantile of the weights of the sample's other
+half, which the model has not seen: a feature of the operator, not a cap; `keep` sets another k.  The k-th key is found by counting keys in ever
 narrower bins, never by collecting them.
 
 Null text has no n-grams and weight 0, null ids draw the same noise as an empty id.  Repeated rows are rows of their
@@ -124,16 +124,17 @@ def kth_largest(df: DataFrame, column: str, k: int) -> float:
     return low
 
 
-def resample(df: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: int | None = None, target_docs: int = TARGET_DOCS, loss: float = TARGET_LOSS) -> DataFrame:
+def resample(df: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: int | None = None, target_docs: int = TARGET_DOCS, loss: float = TARGET_LOSS, seed: int = SEED) -> DataFrame:
     """doc_id, weight, key and kept for every document."""
     good = labels.filter((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0) & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("_id")).distinct()
     chosen = good.filter(common.share("_id", good.count(), target_docs))  # bounded by the parameter, so it may be broadcast
-    marked = df.select(doc_id, F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(chosen), F.col(doc_id) == F.col("_id"), "left").withColumn("target", F.col("_id").isNotNull())
+    halves = chosen.withColumn("_fit", F.pmod(F.xxhash64("_id", F.lit(seed)), F.lit(2)) == 0)
+    marked = df.select(doc_id, F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(halves), F.col(doc_id) == F.col("_id"), "left").withColumn("target", F.coalesce("_fit", F.lit(False)))
     n = counts(marked)
-    scored = common.saved(weights(df, log_ratio(n) if n[0].any() else np.zeros(1 << BUCKET_BITS), doc_id, text), "importance")
+    scored = common.saved(weights(df, log_ratio(n) if n[0].any() else np.zeros(1 << BUCKET_BITS), doc_id, text, seed), "importance")
     total = scored.count()
     if keep is None:
-        seen = scored.join(F.broadcast(chosen), F.col(doc_id) == F.col("_id")).agg(F.percentile("weight", F.lit(loss))).first()[0]
+        seen = scored.join(F.broadcast(halves.filter("NOT _fit")), F.col(doc_id) == F.col("_id")).agg(F.percentile("weight", F.lit(loss))).first()[0]
         keep = total if seen is None else scored.filter(F.col("weight") >= seen).count()
     if keep <= 0 or not total:
         return scored.withColumn("kept", F.lit(False))

@@ -94,6 +94,8 @@ class Model:
         """Distinct 4-grams of each language with their counts."""
         self.langs = langs
         self.mean, self.limit = np.zeros(len(langs)), np.full(len(langs), np.inf)
+        if not langs:
+            return
         union, table = [None] * (ORDER + 1), [None] * (ORDER + 1)
         union[ORDER] = np.unique(np.concatenate([np.zeros(0, np.uint64), *keys]))
         table[ORDER] = np.zeros((len(union[ORDER]), len(langs)))

@@ -8,7 +8,7 @@
    them twice in 100,000; texts that share a third of their weight meet in a band four times in 1000).
 3. Equal texts are one representative from here on.  In each bucket the first member is a pivot; the others are
    verified against it by exact weighted Jaccard similarity on whole texts.  Those that are not similar choose pivots
-   among themselves, four times as many in each round, until none is left.  Members, pivots and rounds have no bound.
+   among themselves, four times as many in each round, until a bucket holds one component.  Members, pivots and rounds have no bound.
 4. Verified links are joined to classes by their smallest member, over saved tables.
 
 A pair alone in a bucket is always compared.  In a larger bucket a text that is linked to a pivot is not compared with
@@ -161,23 +161,32 @@ def verified(pairs: DataFrame, candidates: DataFrame, docs: int, least: float =
 
 
 def links(members: DataFrame, candidates: DataFrame, docs: int, least: float = SIMILARITY) -> DataFrame:
-    """Verified links (rid, pivot) of all buckets (members: bucket, rid)."""
-    found, left, pivots = [], members.withColumn("order", F.xxhash64("rid")), 1
+    """node and root of the texts joined by verified links within buckets (members: bucket, rid).  Texts that are joined already, by whatever
+    bucket, are not compared: each round looks only between the components so far."""
+    found, left, roots, pivots = None, members.withColumn("order", F.xxhash64("rid")), None, 1
     while True:
         # The limit on the row number is applied to each task's rows of a bucket before they are shuffled.
         first = F.row_number().over(Window.partitionBy("bucket").orderBy("order", "rid"))
-        chosen = left.withColumn("n", first).filter(F.col("n") <= pivots).select("bucket", F.col("rid").alias("pivot"), F.col("order").alias("before"))
-        tested = common.saved(left.join(chosen, "bucket").filter(F.struct("before", "pivot") < F.struct("order", "rid")), "near-dup-members")
+        grouped = left.withColumn("root", F.col("rid")) if roots is None else _apart(left, roots)
+        chosen = grouped.withColumn("n", first).filter(F.col("n") <= pivots).select("bucket", F.col("rid").alias("pivot"), F.col("order").alias("before"), F.col("root").alias("joined"))
+        tested = common.saved(grouped.join(chosen, "bucket").filter("root != joined").filter(F.struct("before", "pivot") < F.struct("order", "rid")).select("bucket", "rid", "pivot"), "near-dup-members")
         if tested.isEmpty():
             break
-        result = common.saved(verified(tested.select("rid", "pivot").distinct(), candidates, docs, least), "near-dup-links")
-        found.append(result.filter("near").select("rid", "pivot"))
-        near = tested.join(found[-1], ["rid", "pivot"]).select("bucket", "rid")
-        done = near.unionAll(chosen.select("bucket", F.col("pivot").alias("rid")))
-        left = common.saved(left.join(done, ["bucket", "rid"], "left_anti"), "near-dup-left")
+        near = common.saved(verified(tested.select("rid", "pivot").distinct(), candidates, docs, least).filter("near").select("rid", "pivot"), "near-dup-links")
+        done = tested.join(near, ["rid", "pivot"]).select("bucket", "rid").unionAll(chosen.select("bucket", F.col("pivot").alias("rid")))
+        left = common.saved(grouped.select("bucket", "rid", "order").join(done, ["bucket", "rid"], "left_anti"), "near-dup-left")
+        found = near if found is None else found.unionAll(near)
+        roots = components(found)
         pivots *= 4
         exchange.release(members.sparkSession)
-    return reduce(DataFrame.unionAll, found) if found else members.select("rid", F.col("rid").alias("pivot")).limit(0)
+    return roots if roots is not None else members.select(F.col("rid").alias("node"), F.col("rid").alias("root")).limit(0)
+
+
+def _apart(left: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members with their component's root, of the buckets that hold more than one component."""
+    named = left.join(roots, F.col("rid") == F.col("node"), "left").select("bucket", "rid", "order", F.coalesce("root", "rid").alias("root"))
+    several = named.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a != b").select("bucket")
+    return named.join(several, "bucket")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -211,7 +220,7 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: fl
     members = common.saved(spread.join(shared, "bucket"), "near-dup-buckets")
     candidates = common.saved(made.select("rid", "text", "codes").join(members.select("rid").distinct(), "rid", "left_semi"), "near-dup-candidates")
     exchange.release(spark)
-    roots = components(links(members, candidates, docs, least))
+    roots = links(members, candidates, docs, least)
     joined = copies.select("key", "rep", "least").join(roots, F.col("rep") == F.col("node"), "left").select("key", "rep", "least", F.coalesce("root", "rep").alias("root"))
     named = joined.groupBy("root").agg(F.min("least").alias("class_id"))
     by_key = joined.join(named, "root").select("key", "root", "class_id")

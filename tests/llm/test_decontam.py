@@ -1,0 +1,49 @@
+"""Matches against a full edit-distance table."""
+
+import random
+
+import numpy as np
+from pyspark.sql import Row
+
+from changefold.llm import decontam as dc
+
+
+def least_distance(item, text):
+    row = np.zeros(len(text) + 1, int)
+    for i, a in enumerate(item, 1):
+        new = [i]
+        for j, b in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (a != b)))
+        row = np.array(new)
+    return int(row.min())
+
+
+def test_every_match_within_the_budget():
+    r = random.Random(7)
+    word = lambda: "".join(r.choice("abcde") for _ in range(r.randint(1, 6)))
+    items = [(i, " ".join(word() for _ in range(r.randint(8, 25)))) for i in range(12)]
+    matcher = dc.Matcher(items)
+    for _ in range(150):
+        _, body = r.choice(items)
+        body = list(body)
+        for _ in range(r.randint(0, 9)):
+            at = r.randrange(len(body))
+            body[at : at + r.randint(0, 1)] = r.choice(["", "x", "ab"])
+        text = " ".join([word() for _ in range(r.randint(0, 20))] + ["".join(body)] + [word() for _ in range(5)])
+        got = {i: d for i, d, _, _ in matcher.matches(text)}
+        want = {}
+        for i, item in items:
+            d = least_distance(dc.normal(item), dc.normal(text))
+            if d <= int(dc.ERROR_RATE * len(dc.normal(item))):
+                want[i] = d
+        assert got == want
+
+
+def test_rows(spark):
+    docs = spark.createDataFrame([Row(doc_id=1, text="xx The quick brown\nFOX jumps over it yy", item_id="clash"), Row(doc_id=1, text="xx The quick brown\nFOX jumps over it yy", item_id=""), Row(doc_id=None, text=None, item_id=""), Row(doc_id=3, text="nothing", item_id="")])
+    items = spark.createDataFrame([(10, "the quick, brown fox jumps over it!"), (11, None), (12, "short"), (13, "some other thing that is not there")], "item_id long, text string")
+    for chars in (4_000_000, 20):
+        out = dc.match(docs.drop("item_id"), items, chars=chars).collect()
+        assert [(r.doc_id, r.item_id, r.distance) for r in out] == [(1, 10, 0)] * 2
+    assert [r.doc_id for r in dc.clean(docs, items).collect()] == [None, 3]
+    assert dc.match(docs.limit(0), items).count() == 0 and dc.match(docs, items.limit(0)).count() == 0

@@ -1,0 +1,46 @@
+"""The k-th key against sorting, buckets against a plain count, and separation of labelled documents."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Row
+from pyspark.sql import functions as F
+
+from changefold.llm import importance as im
+
+
+def test_kth_largest(spark):
+    r = random.Random(1)
+    values = [r.gauss(0, 50) for _ in range(500)] + [3.25] * 60 + [-1e6, 1e6]
+    df = spark.createDataFrame([(v,) for v in values], "key double")
+    ordered = sorted(values, reverse=True)
+    for k in (1, 2, 77, 300, 562):
+        assert im.kth_largest(df, "key", k) == ordered[k - 1]
+
+
+def test_buckets_are_a_function_of_the_text():
+    one = ["ab cd, ab", "", "cd", "é!!"]
+    bucket, at = im.buckets(pa.array(one))
+    assert np.bincount(at, minlength=4).tolist() == [4 + 3, 0, 1, 3 + 2]
+    alone, _ = im.buckets(pa.array(["ab cd, ab"]))
+    assert sorted(bucket[at == 0]) == sorted(alone)
+
+
+def test_target_documents_stay(spark):
+    r = random.Random(3)
+    good, bad = [f"w{i}" for i in range(200)], [f"w{i}##" for i in range(200)]
+    rows = [Row(doc_id=i, text=" ".join(r.choice(bad if i % 5 == 0 else good) for _ in range(80)), weight="clash") for i in range(600)]
+    labels = spark.createDataFrame([Row(doc_id=i, quality=int(i % 5 != 0), toxic=0) for i in range(0, 600, 2)])
+    out = im.resample(spark.createDataFrame(rows), labels).select("doc_id", "kept").collect()
+    kept = {x.doc_id: x.kept for x in out}
+    assert np.mean([kept[i] for i in kept if i % 5]) > 0.95 and not any(kept[i] for i in kept if i % 5 == 0)
+    again = {x.doc_id for x in im.resample(spark.createDataFrame(rows), labels, keep=100).filter("kept").collect()}
+    assert len(again) == 100
+
+
+def test_odd_rows(spark):
+    df = spark.createDataFrame([(None, None), (1, ""), (1, ""), (2, "a b")], "doc_id long, text string")
+    labels = spark.createDataFrame([(None, 1, None), (9, None, 0)], "doc_id long, quality int, toxic int")
+    assert im.resample(df, labels).filter(F.col("kept")).count() == 4
+    assert im.resample(df.limit(0), labels).count() == 0
