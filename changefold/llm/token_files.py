@@ -29,8 +29,8 @@ from . import common
 
 MAGIC = b"VTOK1"
 END_ID = 1
-#: Words whose ids a worker process remembers.
-REMEMBERED = 300_000
+#: Words, and pieces of words, whose ids a worker process remembers in each of two generations.
+REMEMBERED = 250_000
 # White space of the tokenizer's own pattern; pieces between never merge across it.
 SPACE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
 #: Words of these characters alone are the same in every normal form and change case letter by letter.
@@ -51,22 +51,26 @@ class WordCodec:
         self.model, self.byte_level = self.tokenizer.model, ByteLevel(add_prefix_space=False, use_regex=False)
         self.size = self.tokenizer.get_vocab_size()
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.older_pieces: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         self.letters = {c: self.byte_level.pre_tokenize_str(c)[0][0] for c in map(chr, [*range(33, 127), *range(0xC0, 0x100)])}
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         words = self.words
-        chunks = [w for w in SPACE.split(text) if w]
+        # str.split knows the same white space, and four separators that the tokenizer takes for signs.
+        odd = "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text
+        chunks = [w for w in SPACE.split(text) if w] if odd else text.split()
         try:
             return b"".join([words[w] for w in chunks])
         except KeyError:
             for w in chunks:
                 if w not in words:
-                    words[w] = self._word(w)
+                    words[w] = self.older.get(w) or self._word(w)
             out = b"".join([words[w] for w in chunks])
-            if len(words) > REMEMBERED:
-                words.clear()
+            if len(words) > REMEMBERED:  # frequent words soon come back from the older half
+                self.words, self.older = {}, words
             return out
 
     def _word(self, word: str) -> bytes:
@@ -76,9 +80,11 @@ class WordCodec:
 
     def _piece(self, piece: str) -> bytes:
         """A piece goes straight to the library's merge model; the steps before it do not change plain words."""
-        ids = np.array([t.id for t in self.model.tokenize("".join(map(self.letters.__getitem__, piece)))], "<u4").tobytes()
+        ids = self.older_pieces.get(piece)
+        if ids is None:
+            ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize("".join(map(self.letters.__getitem__, piece)))])
         if len(self.pieces) > REMEMBERED:
-            self.pieces.clear()
+            self.pieces, self.older_pieces = {}, self.pieces
         self.pieces[piece] = ids
         return ids
 
