@@ -49,18 +49,23 @@ def wire_decimal(c: Column, precision: int = 10, scale: int = 2) -> Column:
     complement unscaled integer>}`` (read as its JSON text).  Anything else
     gives null instead of failing the batch."""
     text = F.trim(c.cast("string"))
-    is_obj = text.startswith("{")
-    b64 = F.get_json_object(text, "$.value")
-    obj_scale = F.get_json_object(text, "$.scale").cast("int")
-    h = F.hex(F.unbase64(b64))
-    # Sign-extend the big-endian two's complement bytes to 64 bits and read
-    # them as a signed long (negative target base = signed in ``conv``).
-    negative = F.conv(F.substring(h, 1, 1), 16, 10).cast("int") >= 8
-    padded = F.when(negative, F.lpad(h, 16, "F")).otherwise(F.lpad(h, 16, "0"))
-    signed = F.when(F.length(h) <= 16, F.conv(padded, 16, -10).cast("decimal(38,0)"))
-    from_obj = (signed / F.pow(F.lit(10), obj_scale).cast("decimal(38,0)"))
     target = f"decimal({precision},{scale})"
-    return F.when(is_obj, from_obj.try_cast(target)).otherwise(text.try_cast(target))
+    wire_scale = F.get_json_object(text, "$.scale").try_cast("int")
+    h = F.hex(F.try_to_binary(F.get_json_object(text, "$.value"), F.lit("base64")))
+    # Sign-extend the big-endian two's complement bytes to 128 bits; the upper
+    # half is signed (negative target base of ``conv``), the lower is not.
+    negative = F.conv(F.substring(h, 1, 1), 16, 10).try_cast("int") >= 8
+    padded = F.when(negative, F.lpad(h, 32, "F")).otherwise(F.lpad(h, 32, "0"))
+    upper = F.conv(F.substring(padded, 1, 16), 16, -10).try_cast("decimal(20,0)")
+    lower = F.conv(F.substring(padded, 17, 16), 16, 10).try_cast("decimal(20,0)")
+    unscaled = F.try_add(F.try_multiply(upper, F.lit(str(1 << 64)).cast("decimal(20,0)")), lower)
+    # The point is set in the digits, so the only rounding is that of the text form.
+    digits = F.lpad(F.abs(unscaled).cast("string"), F.greatest(F.length(F.abs(unscaled).cast("string")), wire_scale + 1), F.lit("0"))
+    whole = F.length(digits) - wire_scale
+    shifted = F.concat(F.when(unscaled < 0, F.lit("-")).otherwise(F.lit("")), F.substring(digits, F.lit(1), whole), F.lit("."), F.substring(digits, whole + 1, wire_scale))
+    readable = F.length(h).between(2, 32) & wire_scale.between(0, 37)
+    from_obj = F.when(readable, shifted.try_cast(target))
+    return F.when(text.startswith("{"), from_obj).otherwise(text.try_cast(target))
 
 
 def decimal_to_wire_object(c: Column, scale: int = 2) -> Column:

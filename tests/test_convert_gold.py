@@ -34,6 +34,24 @@ def test_decimal_wire_object_round_trip(spark):
     assert all(r.x == r.d for r in out)
 
 
+def test_decimal_object_edges(spark):
+    import base64
+    from decimal import Decimal
+
+    def obj(unscaled, scale):
+        size = max(1, (unscaled.bit_length() + 8) // 8)
+        return '{"scale":%s,"value":"%s"}' % (scale, base64.b64encode(unscaled.to_bytes(size, "big", signed=True)).decode())
+
+    same = [(obj(12345678123456789012, 12), "12345678.123456789012"), (obj(10049999996, 10), "1.0049999996"), (obj(-10050000000, 10), "-1.0050000000"),
+            (obj(-1, 0), "-1"), (obj(5, 3), "0.005"), (obj(-(10**36), 30), "-1000000.0"), (obj(2**64, 18), "18.446744073709551616"), (obj(0, 37), "0")]
+    bad = ['{"scale":"x","value":"AQ=="}', '{"scale":-2,"value":"AQ=="}', '{"scale":40,"value":"AQ=="}', '{"scale":2,"value":"A"}', '{"scale":2,"value":"!"}',
+           '{"scale":2,"value":""}', '{"scale":2}', '{"value":"AQ=="}', "{", "x", obj(10**20, 0), obj(2**130, 0)]
+    df = spark.createDataFrame([(a, b) for a, b in same] + [(a, None) for a in bad], "o string, t string")
+    for r in df.select(convert.wire_decimal(F.col("o")).alias("x"), convert.wire_decimal(F.col("t")).alias("y"), "o").collect():
+        assert r.x == r.y, r
+    assert convert.wire_decimal is not None and Decimal("1.00") == df.limit(2).select(convert.wire_decimal(F.col("o")).alias("x")).collect()[1].x
+
+
 def _silver_orders(spark, rows):
     return spark.createDataFrame(
         rows, "order_id long, delivery_date date, status string, customer_id long, order_date date, _deleted boolean")
