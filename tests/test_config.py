@@ -30,6 +30,21 @@ def test_from_env(monkeypatch):
     assert c.kafka_bootstrap_servers == "broker:9092"
 
 
+def test_from_env_by_declared_type(monkeypatch):
+    for name, raw in {"AVAILABLE_NOW": "false", "KAFKA_BOOTSTRAP_SERVERS": "b:9092", "JDBC_URL": "jdbc:x", "JDBC_PROPERTIES": '{"user": "u"}',
+                      "HIGH_VOLUME_TABLES": "orders, products", "KAFKA_MIN_PARTITIONS": "12", "COMPACT_EVERY": "3"}.items():
+        monkeypatch.setenv(f"CHANGEFOLD_{name}", raw)
+    c = StreamConfig.from_env(kafka_bootstrap_servers=None)
+    assert c.available_now is False and c.kafka_bootstrap_servers == "b:9092" and c.jdbc_url == "jdbc:x"
+    assert c.jdbc_properties == {"user": "u"} and c.high_volume_tables == ("orders", "products")
+    assert c.kafka_min_partitions == 12 and c.compact_every == 3
+    monkeypatch.setenv("CHANGEFOLD_AVAILABLE_NOW", "maybe")
+    with pytest.raises(ValueError):
+        StreamConfig.from_env()
+    with pytest.raises(ValueError):
+        StreamConfig(base_path="/x", compact_every=-1)
+
+
 def test_scale_settings_grow_with_input():
     small = scale_settings(40 * 2**20, 8)
     big = scale_settings(100 * 2**40, 8000)
