@@ -247,7 +247,7 @@ def test_run_all_records_metrics_table(spark, tmp_base):
         time.sleep(0.2)
         rec.flush(spark, f"{tmp_base}/metrics")
     names = {r.query for r in spark.read.parquet(f"{tmp_base}/metrics").select("query").distinct().collect()}
-    assert names & {"raw_orders", "raw_order_items", "logistics_orders", "logistics_order_items", "analytical_kpis"}
+    assert names & {"raw_orders", "raw_order_items", "silver_orders", "silver_order_items", "gold_open_orders"}
 
 
 def test_all_four_tables_through_the_streams(spark, tmp_base):
