@@ -32,6 +32,8 @@ from . import common, exchange
 SHINGLE = 5
 BANDS, ROWS = 27, 5
 SIMILARITY = 0.8
+#: Bands of the first round.
+FIRST_BANDS = 3
 #: Steps of the stored document frequency for each doubling.
 STEPS = 4
 
@@ -161,25 +163,31 @@ def verified(pairs: DataFrame, candidates: DataFrame, docs: int, least: float =
 
 
 def links(members: DataFrame, candidates: DataFrame, docs: int, least: float = SIMILARITY) -> DataFrame:
-    """node and root of the texts joined by verified links within buckets (members: bucket, rid).  Texts that are joined already, by whatever
-    bucket, are not compared: each round looks only between the components so far."""
-    found, left, roots, pivots = None, members.withColumn("order", F.xxhash64("rid")), None, 1
+    """node and root of the texts joined by verified links within buckets (members: bucket, band, rid).  Texts that are joined already, by
+    whatever bucket, are not compared: each round looks only between the components so far.  The first round sees the buckets of a few
+    bands only, which joins most of a large group of near copies before the other bands would compare it again."""
+    members = members.withColumn("order", F.xxhash64("rid"))
+    few, rest = members.filter(F.col("band") < FIRST_BANDS).drop("band"), members.filter(F.col("band") >= FIRST_BANDS).drop("band")
+    left, later, roots, pivots = few, rest, None, 1
     while True:
+        grouped = left.withColumn("root", F.col("rid")) if roots is None else common.saved(_apart(left, roots), "near-dup-apart")
         # The limit on the row number is applied to each task's rows of a bucket before they are shuffled.
         first = F.row_number().over(Window.partitionBy("bucket").orderBy("order", "rid"))
-        grouped = left.withColumn("root", F.col("rid")) if roots is None else _apart(left, roots)
         chosen = grouped.withColumn("n", first).filter(F.col("n") <= pivots).select("bucket", F.col("rid").alias("pivot"), F.col("order").alias("before"), F.col("root").alias("joined"))
         tested = common.saved(grouped.join(chosen, "bucket").filter("root != joined").filter(F.struct("before", "pivot") < F.struct("order", "rid")).select("bucket", "rid", "pivot"), "near-dup-members")
-        if tested.isEmpty():
+        if later is None and tested.isEmpty():
             break
         near = common.saved(verified(tested.select("rid", "pivot").distinct(), candidates, docs, least).filter("near").select("rid", "pivot"), "near-dup-links")
         done = tested.join(near, ["rid", "pivot"]).select("bucket", "rid").unionAll(chosen.select("bucket", F.col("pivot").alias("rid")))
-        left = common.saved(grouped.select("bucket", "rid", "order").join(done, ["bucket", "rid"], "left_anti"), "near-dup-left")
-        found = near if found is None else found.unionAll(near)
-        roots = components(found)
-        pivots *= 4
+        left = grouped.select("bucket", "rid", "order").join(done, ["bucket", "rid"], "left_anti")
+        # The components so far are stars: with the new links they stand for all links.
+        roots = components(near if roots is None else near.unionAll(roots))
+        if later is not None:
+            left, later = left.unionAll(later), None
+        else:
+            pivots *= 4
         exchange.release(members.sparkSession)
-    return roots if roots is not None else members.select(F.col("rid").alias("node"), F.col("rid").alias("root")).limit(0)
+    return roots
 
 
 def _apart(left: DataFrame, roots: DataFrame) -> DataFrame:
@@ -190,19 +198,24 @@ def _apart(left: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, root: every node of the links and the smallest node it is joined to.  Large-star and small-star steps in
-    turn, each a shuffle by node with a partial minimum; edges are saved after both."""
-    now = common.saved(edges.toDF("u", "v").filter("u != v").distinct(), "components")
-    while True:
+    """node, root: every node of the links that is not its component's smallest, and the smallest.  Large-star and small-star steps in
+    turn, each a shuffle by node with a partial minimum, until all links are stars; links are saved after both."""
+    u, v = edges.columns
+    now = common.saved(edges.filter(F.col(u) != F.col(v)).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct(), "components")
+    while not _stars(now):
         around = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = around.join(least, "u").filter("v > u AND v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        after = common.saved(small.unionAll(low.select("u", F.col("m").alias("v"))).distinct(), "components")
-        if after.count() == now.count() and after.exceptAll(now).isEmpty():
-            return after.toDF("node", "root")
-        now = after
+        now = common.saved(small.unionAll(low.select("u", F.col("m").alias("v"))).distinct(), "components")
+    return now.toDF("node", "root")
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether each u, always greater than its v, has one link and is no other node's v."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(edges.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 OR (up = 1 AND down = 1)").isEmpty()
 
 
 def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
@@ -215,7 +228,7 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: fl
     exchange.release(spark)
     copies = common.saved(made.groupBy("key").agg(F.min("rid").alias("rep"), F.min("doc_id").alias("least"), F.min_by("bands", "rid").alias("bands")), "near-dup-copies")
     # A band's number is in its hash, so the hash alone names the bucket.
-    spread = copies.select(F.col("rep").alias("rid"), F.explode("bands").alias("bucket"))
+    spread = copies.select(F.col("rep").alias("rid"), F.posexplode("bands").alias("band", "bucket"))
     shared = spread.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
     members = common.saved(spread.join(shared, "bucket"), "near-dup-buckets")
     candidates = common.saved(made.select("rid", "text", "codes").join(members.select("rid").distinct(), "rid", "left_semi"), "near-dup-candidates")
