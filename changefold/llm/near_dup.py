@@ -8,7 +8,7 @@
    them twice in 100,000; texts that share a third of their weight meet in a band four times in 1000).
 3. Equal texts are one representative from here on.  In each bucket the first member is a pivot; the others are
    verified against it by exact weighted Jaccard similarity on whole texts.  Those that are not similar choose pivots
-   among themselves, four times as many in each round, until a bucket holds one component.  Members, pivots and rounds have no bound.
+   among themselves, sixteen times as many in each round, until a bucket holds one component.  Members, pivots and rounds have no bound.
 4. Verified links are joined to classes by their smallest member, over saved tables.
 
 A pair alone in a bucket is always compared.  In a larger bucket a text that is linked to a pivot is not compared with
@@ -185,7 +185,7 @@ def links(members: DataFrame, candidates: DataFrame, docs: int, least: float = S
         if later is not None:
             left, later = left.unionAll(later), None
         else:
-            pivots *= 4
+            pivots *= 16
         exchange.release(members.sparkSession)
     return roots
 
