@@ -6,13 +6,13 @@
 2. ICWS draws BANDS * ROWS samples: two texts agree in a sample with a probability that is their weighted Jaccard
    similarity.  Texts that agree in all rows of a band meet in a bucket (27 bands of 5: a pair at 0.8 misses all of
    them twice in 100,000; texts that share a third of their weight meet in a band four times in 1000).
-3. Equal texts are one representative from here on.  In each bucket the first member is a pivot; the others are
-   verified against it by exact weighted Jaccard similarity on whole texts.  Those that are not similar choose pivots
-   among themselves, sixteen times as many in each round, until a bucket holds one component.  Members, pivots and rounds have no bound.
-4. Verified links are joined to classes by their smallest member, over saved tables.
-
-A pair alone in a bucket is always compared.  In a larger bucket a text that is linked to a pivot is not compared with
-the others there; other buckets hold other members, so it meets other pivots.
+3. Equal texts are one representative from here on.  In each bucket the member that meets most others, over all its
+   bands, is the pivot; the others are verified against it by exact weighted Jaccard similarity on whole texts.
+4. Buckets that still hold more than one component are searched whole, in tiles of about TILE_BYTES: a pair at the
+   similarity shares a shingle among each one's rarest ones (the prefix that holds more weight than such a pair may
+   differ in), so only texts with such a shingle in common are verified.  Nothing is lost by that, and a text whose
+   edits make up more than that weight meets nobody, however many copies of the original there are.
+5. Verified links are joined to classes by their smallest member, over saved tables.
 
 Null text counts as empty; empty texts are copies of each other and near nothing else.  Null ids are kept, and are the
 class id only if no member has an id.  Repeated rows are copies.  An empty table gives no rows.
@@ -32,8 +32,8 @@ from . import common, exchange
 SHINGLE = 5
 BANDS, ROWS = 27, 5
 SIMILARITY = 0.8
-#: Bands of the first round.
-FIRST_BANDS = 3
+#: Bytes of text in a block of a bucket; a tile holds one block or two.
+TILE_BYTES = 2 << 20
 #: Steps of the stored document frequency for each doubling.
 STEPS = 4
 
@@ -163,38 +163,81 @@ def verified(pairs: DataFrame, candidates: DataFrame, docs: int, least: float =
 
 
 def links(members: DataFrame, candidates: DataFrame, docs: int, least: float = SIMILARITY) -> DataFrame:
-    """node and root of the texts joined by verified links within buckets (members: bucket, band, rid).  Texts that are joined already, by
-    whatever bucket, are not compared: each round looks only between the components so far.  The first round sees the buckets of a few
-    bands only, which joins most of a large group of near copies before the other bands would compare it again."""
-    members = members.withColumn("order", F.xxhash64("rid"))
-    few, rest = members.filter(F.col("band") < FIRST_BANDS).drop("band"), members.filter(F.col("band") >= FIRST_BANDS).drop("band")
-    left, later, roots, pivots = few, rest, None, 1
-    while True:
-        grouped = left.withColumn("root", F.col("rid")) if roots is None else common.saved(_apart(left, roots), "near-dup-apart")
-        # The limit on the row number is applied to each task's rows of a bucket before they are shuffled.
-        first = F.row_number().over(Window.partitionBy("bucket").orderBy("order", "rid"))
-        chosen = grouped.withColumn("n", first).filter(F.col("n") <= pivots).select("bucket", F.col("rid").alias("pivot"), F.col("order").alias("before"), F.col("root").alias("joined"))
-        tested = common.saved(grouped.join(chosen, "bucket").filter("root != joined").filter(F.struct("before", "pivot") < F.struct("order", "rid")).select("bucket", "rid", "pivot"), "near-dup-members")
-        if later is None and tested.isEmpty():
-            break
-        near = common.saved(verified(tested.select("rid", "pivot").distinct(), candidates, docs, least).filter("near").select("rid", "pivot"), "near-dup-links")
-        done = tested.join(near, ["rid", "pivot"]).select("bucket", "rid").unionAll(chosen.select("bucket", F.col("pivot").alias("rid")))
-        left = grouped.select("bucket", "rid", "order").join(done, ["bucket", "rid"], "left_anti")
-        # The components so far are stars: with the new links they stand for all links.
-        roots = components(near if roots is None else near.unionAll(roots))
-        if later is not None:
-            left, later = left.unionAll(later), None
-        else:
-            pivots *= 16
-        exchange.release(members.sparkSession)
-    return roots
-
-
-def _apart(left: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members with their component's root, of the buckets that hold more than one component."""
-    named = left.join(roots, F.col("rid") == F.col("node"), "left").select("bucket", "rid", "order", F.coalesce("root", "rid").alias("root"))
-    several = named.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a != b").select("bucket")
-    return named.join(several, "bucket")
+    """node and root of the texts joined by verified links within buckets (members: bucket, rid, mates, size)."""
+    pivots = members.groupBy("bucket").agg(F.min(F.struct(-F.col("mates"), F.col("rid").alias("pivot"))).alias("best")).select("bucket", "best.pivot")
+    tested = members.join(pivots, "bucket").filter("rid != pivot").select(F.greatest("rid", "pivot").alias("rid"), F.least("rid", "pivot").alias("pivot")).distinct()
+    near = common.saved(verified(tested, candidates, docs, least).filter("near").select("rid", "pivot"), "near-dup-links")
+    roots = components(near)
+    exchange.release(members.sparkSession)
+    found = common.saved(searched(_apart(members, roots), candidates, docs, least), "near-dup-links")
+    # The components so far are stars: with the new links they stand for all links.
+    return components(found.unionAll(roots)) if not found.isEmpty() else roots
+
+
+def _apart(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members with their component's root and their block, of the buckets whose pivot left more than one component.  A member
+    goes to each tile of its block with another one."""
+    named = members.join(roots, F.col("rid") == F.col("node"), "left").select("bucket", "rid", "size", F.coalesce("root", "rid").alias("root"))
+    sums = named.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    several = sums.filter("a != b AND n > 2").select("bucket", F.ceil(F.col("bytes") / TILE_BYTES).alias("blocks"))
+    placed = named.join(several, "bucket").withColumn("block", F.pmod(F.xxhash64("rid"), F.greatest("blocks", F.lit(1))))
+    tiled = placed.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest("blocks", F.lit(1)) - 1)).alias("other"))
+    return tiled.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "rid", "root")
+
+
+def close(h: np.ndarray, weight: np.ndarray, count: np.ndarray, root: np.ndarray, block: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Places of texts (none without shingles) that are similar: enough pairs to join the roots of all that are.  Of two blocks only pairs
+    between them are looked at."""
+    starts = np.cumsum(count) - count
+    own = np.repeat(np.arange(len(count)), count)
+    total = np.add.reduceat(weight, starts)
+    _, kind, often = np.unique(h, return_inverse=True, return_counts=True)
+    order = np.lexsort((kind, often[kind], own))
+    before = np.cumsum(weight[order])
+    before = before - before[starts][own] + weight[order][starts][own] - weight[order]
+    rare = before <= (1 - least) * total[own] * (1 + 1e-6) + 1e-6
+    kind, own = kind[order][rare], own[rare]
+    by = np.argsort(kind, kind="stable")
+    holders = own[by]
+    first = np.flatnonzero(np.concatenate([[True], kind[by][1:] != kind[by][:-1]]))
+    begin = np.empty(len(kind), np.int64)
+    begin[by] = np.repeat(first, np.diff(np.append(first, len(by))))
+    place = np.empty(len(kind), np.int64)
+    place[by] = np.arange(len(by))
+    # Holders of a shingle are in order: those between its first place and a text's own come before the text.
+    met = np.flatnonzero(place > begin)
+    ends = np.searchsorted(own[met], np.arange(len(count) + 1))
+    root, found, two = root.copy(), [], block.min() != block.max()
+    for x in range(len(count)):
+        mine = met[ends[x] : ends[x + 1]]
+        if not len(mine):
+            continue
+        others = np.unique(np.concatenate([holders[a:b] for a, b in zip(begin[mine], place[mine], strict=True)]))
+        others = others[root[others] != root[x]]
+        if two:
+            others = others[block[others] != block[x]]
+        a = slice(starts[x], starts[x] + count[x])
+        for y in others[np.minimum(total[others], total[x]) >= least * np.maximum(total[others], total[x]) * (1 - 1e-6)]:
+            b = slice(starts[y], starts[y] + count[y])
+            if root[x] != root[y] and similarity((h[a], weight[a]), (h[b], weight[b])) >= least:
+                found.append((x, int(y)))
+                root[root == root[y]] = root[x]
+    return found
+
+
+def searched(tiles: DataFrame, candidates: DataFrame, docs: int, least: float = SIMILARITY) -> DataFrame:
+    """Links (rid, pivot) between the components of each tile, from whole texts."""
+
+    def tile(table: pa.Table) -> pa.Table:
+        table = table.sort_by("rid").combine_chunks()
+        h, tf, count = shingles(table.column("text"))
+        weight = tf * idf(np.frombuffer(b"".join(table.column("codes").to_pylist()), np.uint8), docs)
+        rid, root, block = (table.column(c).to_numpy() for c in ("rid", "root", "block"))
+        found = np.array(close(h, weight, count, root, block, least), np.int64).reshape(-1, 2)
+        return pa.table({"rid": rid[found[:, 0]], "pivot": rid[found[:, 1]]})
+
+    whole = tiles.join(candidates.select("rid", "text", "codes"), "rid")
+    return whole.groupBy("bucket", "low", "high").applyInArrow(tile, "rid long, pivot long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -226,11 +269,12 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: fl
     docs = df.count()
     made = common.saved(sketches(rows, docs), "near-dup-sketches")
     exchange.release(spark)
-    copies = common.saved(made.groupBy("key").agg(F.min("rid").alias("rep"), F.min("doc_id").alias("least"), F.min_by("bands", "rid").alias("bands")), "near-dup-copies")
+    copies = common.saved(made.groupBy("key").agg(F.min("rid").alias("rep"), F.min("doc_id").alias("least"), F.min_by("bands", "rid").alias("bands"), F.max(F.octet_length("text")).alias("size")), "near-dup-copies")
     # A band's number is in its hash, so the hash alone names the bucket.
-    spread = copies.select(F.col("rep").alias("rid"), F.posexplode("bands").alias("band", "bucket"))
-    shared = spread.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    members = common.saved(spread.join(shared, "bucket"), "near-dup-buckets")
+    spread = copies.select(F.col("rep").alias("rid"), "size", F.explode("bands").alias("bucket"))
+    shared = spread.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    mates = F.sum("n").over(Window.partitionBy("rid"))
+    members = common.saved(spread.join(shared, "bucket").withColumn("mates", mates).drop("n"), "near-dup-buckets")
     candidates = common.saved(made.select("rid", "text", "codes").join(members.select("rid").distinct(), "rid", "left_semi"), "near-dup-candidates")
     exchange.release(spark)
     roots = links(members, candidates, docs, least)

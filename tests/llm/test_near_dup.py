@@ -72,6 +72,49 @@ def test_classes(spark):
     assert kept.count() == len(set(brute(values))) and kept.columns == ["doc_id", "text", "key"]
 
 
+def test_classes_over_many_tiles(spark, monkeypatch):
+    monkeypatch.setattr(nd, "TILE_BYTES", 1500)
+    r = random.Random(8)
+    group = [str(r.random()) for _ in range(150)]
+    values = []
+    for i in range(120):  # links in chains and stars around the original, and copies too far from it
+        copy = list(values[-1].split() if i % 3 == 1 else group)
+        for _ in range(r.randint(0, 9)):
+            copy[r.randrange(len(copy))] = str(r.random())
+        values.append(" ".join(copy))
+    path = fresh_dir(spark, "near")
+    spark.createDataFrame(list(enumerate(values)), "doc_id long, text string").write.parquet(path)
+    got = {r.doc_id: r.class_id for r in nd.classes(spark.read.parquet(path)).collect()}
+    want = brute(values)
+    assert 2 < len(set(want)) < 100
+    assert [got[i] for i in range(len(values))] == want
+
+
+def test_prefixes_lose_no_pair():
+    r = np.random.default_rng(5)
+    pool = r.integers(0, 2**63, 60).astype(np.uint64)
+    sets = []
+    for i in range(150):
+        if i % 2:
+            keep = sets[-1][r.random(len(sets[-1])) < 0.93]
+            sets.append(np.unique(np.append(keep, r.integers(0, 2**63, r.integers(0, 3)).astype(np.uint64))))
+        else:
+            sets.append(np.unique(r.choice(pool, r.integers(1, 40))))
+    count = np.array([len(x) for x in sets])
+    h = np.concatenate(sets)
+    weight = 1 + (h % np.uint64(7)) / 7 + (r.random(len(h)) < 0.02)
+    ends = np.concatenate([[0], np.cumsum(count)])
+    part = [(h[a:b], weight[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+    for block in (np.zeros(150, np.int64), np.arange(150) % 2):
+        near = {(x, y) for x in range(150) for y in range(x) if nd.similarity(part[x], part[y]) >= 0.8 and (block[x] != block[y] or not block.any())}
+        found = nd.close(h, weight, count, np.arange(150), block, 0.8)
+        assert set(found) <= near
+        root = np.arange(150)
+        for x, y in found:
+            root[root == root[y]] = root[x]
+        assert near and all(root[x] == root[y] for x, y in near)
+
+
 def test_nulls_and_empty(spark):
     path = fresh_dir(spark, "near")
     spark.createDataFrame([(None, "x y z"), (None, "x y z"), (7, "x y z"), (8, None), (8, None)], "doc_id long, text string").write.parquet(path)
