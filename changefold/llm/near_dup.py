@@ -156,8 +156,11 @@ def verified(pairs: DataFrame, candidates: DataFrame, docs: int, least: float =
             out.append(similarity(a, b) >= least)
         return {"rid": part.column("rid"), "pivot": part.column("pivot"), "near": out}
 
-    a = candidates.select("rid", F.col("text").alias("a_text"), F.col("codes").alias("a_codes"))
-    b = candidates.select(F.col("rid").alias("pivot"), F.col("text").alias("b_text"), F.col("codes").alias("b_codes"))
+    # Only the texts of the pairs are dealt out, not all candidates.
+    asked = candidates.join(pairs.select("rid").distinct(), "rid", "left_semi")
+    a = asked.select("rid", F.col("text").alias("a_text"), F.col("codes").alias("a_codes"))
+    answers = candidates.withColumnRenamed("rid", "pivot").join(pairs.select("pivot").distinct(), "pivot", "left_semi")
+    b = answers.select("pivot", F.col("text").alias("b_text"), F.col("codes").alias("b_codes"))
     both = pairs.join(a, "rid").join(b, "pivot").select("rid", "pivot", "a_text", "a_codes", "b_text", "b_codes")
     return common.map_slices(both, compare, "rid long, pivot long, near boolean", "a_text")
 
@@ -166,6 +169,7 @@ def links(members: DataFrame, candidates: DataFrame, docs: int, least: float = S
     """node and root of the texts joined by verified links within buckets (members: bucket, rid, mates, size)."""
     pivots = members.groupBy("bucket").agg(F.min(F.struct(-F.col("mates"), F.col("rid").alias("pivot"))).alias("best")).select("bucket", "best.pivot")
     tested = members.join(pivots, "bucket").filter("rid != pivot").select(F.greatest("rid", "pivot").alias("rid"), F.least("rid", "pivot").alias("pivot")).distinct()
+    tested = common.saved(tested, "near-dup-tested")
     near = common.saved(verified(tested, candidates, docs, least).filter("near").select("rid", "pivot"), "near-dup-links")
     roots = components(near)
     exchange.release(members.sparkSession)
