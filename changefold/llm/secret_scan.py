@@ -1,11 +1,13 @@
 """Secret scan: fixed patterns, and character Markov models of random strings and of ordinary identifiers.
 
 Training is one Spark job over a bounded sample of documents (TRAIN_DOCS, chosen by a hash of the id).  Its labels come
-from the text itself: values that a fixed pattern marks as secret are samples of random strings, all other words over
-the same signs are ordinary.  Of each class first-order transition counts are summed over the sample.  A candidate is a
-run of at least MIN_CHARS signs outside the pattern spans; it is reported if its log-likelihood ratio for each sign is
-above the threshold.  The threshold is calibrated on the other half of the sample: at most one in FALSE_ALARMS ordinary
-words is above it.  Without samples of secrets the random model is uniform.
+from the text itself: values that a fixed pattern marks as secret are samples of random strings, shorter runs of the
+same signs than a candidate has are ordinary.  Of each class first-order transition counts are summed over the sample.
+A candidate is a run of at least MIN_CHARS signs outside the pattern spans; it is reported if its log-likelihood ratio
+for each sign is above the threshold.  The threshold is calibrated on all documents that the models have not seen: of
+their short runs that read like words, joined in their order until they are as long as a candidate, at most one in
+FALSE_ALARMS is above it.  No candidate is among them, so the threshold does not rise with the share of unmarked keys.
+Without samples of secrets the random model is uniform.
 
 Null text is empty and has no spans; repeated rows give repeated rows; an empty table gives none.  Positions are code
 points of the whole text, ends exclusive.
@@ -32,6 +34,8 @@ SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 
 KEYWORDS = ("passw", "secret", "token", "api")
 RUN = re.compile(r"[A-Za-z0-9+/_.=-]{8,}")
+#: Letters of one case or capitalised, and short numbers, with signs between.
+WORDLIKE = re.compile(r"(?:(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4})(?:[+/_.=-]+|\Z)|[+/_.=-]+)+")
 MIN_CHARS = 20
 TRAIN_DOCS = 20_000
 FALSE_ALARMS = 100_000
@@ -80,7 +84,9 @@ def transitions(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 class Model:
     def __init__(self, random: np.ndarray, ordinary: np.ndarray, threshold: float = 0.0):
         def log_p(counts: np.ndarray) -> np.ndarray:
-            smooth = counts.reshape(WIDTH, WIDTH)[:, :START] + 0.5
+            counts = counts.reshape(WIDTH, WIDTH)[:, :START]
+            signs = counts.sum(0) + 0.5  # what a sign before has rarely or never had behind it falls back to all signs
+            smooth = counts + 0.5 * START * signs / signs.sum()
             return np.log(smooth / smooth.sum(1, keepdims=True))
 
         ratio = np.zeros((WIDTH, WIDTH))
@@ -105,14 +111,26 @@ def _samples(texts: list[str]) -> tuple[list[str], list[str]]:
     for t in texts:
         base, values = base_spans(t)
         secret += [t[a:b] for a, b in values]
-        ordinary += [t[a:b] for a, b in free_runs(t, base, 8)]
+        ordinary += [t[a:b] for a, b in free_runs(t, base, 8) if b - a < MIN_CHARS]
     return secret, ordinary
 
 
+def negatives(ordinary: list[str]) -> list[str]:
+    """Runs as long as a candidate that cannot be unmarked secrets: word-like short runs, joined."""
+    out, at = [], ""
+    for w in filter(WORDLIKE.fullmatch, ordinary):
+        at += w
+        if len(at) >= MIN_CHARS:
+            out.append(at)
+            at = ""
+    return out
+
+
 def train(df: DataFrame, doc_id: str = "doc_id", text: str = "text", docs: int = TRAIN_DOCS) -> Model:
     """Counts come to the driver summed: WIDTH squared for each class, and a histogram of scores."""
     total = df.count()
-    sample = common.texts(df.filter(common.share(doc_id, total, docs)), doc_id, text=text).select(F.col(text).alias("text"), (F.pmod(F.xxhash64(F.col(doc_id), F.lit(1)), F.lit(2)) == 0).alias("fit"))
+    fit = common.share(doc_id, total, docs) & (F.pmod(F.xxhash64(F.col(doc_id), F.lit(1)), F.lit(2)) == 0)
+    every = common.texts(df.withColumn("_fit", fit), doc_id, "_fit", text=text).select(F.col(text).alias("text"), F.col("_fit").alias("fit"))
 
     def count(part):
         out = [np.bincount(transitions(words)[0], minlength=WIDTH * WIDTH) if words else np.zeros(WIDTH * WIDTH, np.int64) for words in _samples(part.column("text").to_pylist())]
@@ -120,16 +138,16 @@ def train(df: DataFrame, doc_id: str = "doc_id", text: str = "text", docs: int =
         return {"label": np.repeat([0, 1], [len(w) for w in where]), "pair": np.concatenate(where), "n": np.concatenate([c[w] for c, w in zip(out, where, strict=True)])}
 
     sums = np.zeros((2, WIDTH * WIDTH))
-    for r in common.map_slices(sample.filter("fit"), count, "label int, pair int, n long").groupBy("label", "pair").sum("n").collect():
+    for r in common.map_slices(every.filter("fit"), count, "label int, pair int, n long").groupBy("label", "pair").sum("n").collect():
         sums[r[0], r[1]] = r[2]
     model = Model(sums[0], sums[1])
 
     def score(part):
         _, ordinary = _samples(part.column("text").to_pylist())
-        bins, n = np.unique(np.floor(model.scores(ordinary) * BINS).astype(np.int64), return_counts=True)
+        bins, n = np.unique(np.floor(model.scores(negatives(ordinary)) * BINS).astype(np.int64), return_counts=True)
         return {"bin": bins, "n": n}
 
-    held = sorted(common.map_slices(sample.filter("NOT fit"), score, "bin int, n long").groupBy("bin").sum("n").collect(), reverse=True)
+    held = sorted(common.map_slices(every.filter("NOT fit"), score, "bin int, n long").groupBy("bin").sum("n").collect(), reverse=True)
     allowed, above, threshold = sum(r[1] for r in held) // FALSE_ALARMS, 0, 0.0
     for r in held:
         above += r[1]

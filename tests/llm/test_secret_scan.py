@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+import numpy as np
+import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import Row
@@ -46,6 +48,23 @@ def test_markov_on_held_out_strings(spark):
     assert secret[0] not in ss.redacted(text, model) and plain[0] in ss.redacted(text, model)
 
 
+@pytest.mark.parametrize("shape", ["ghp_", "", "lower"])
+def test_unmarked_keys_in_a_third_of_the_documents(spark, shape):
+    word, key, rows = corpus(1200, 5)
+    r = random.Random(9)
+    made = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz234567") for _ in range(40)) if shape == "lower" else shape + key(40 - len(shape))
+    unmarked = {i: made() for i in range(0, 1200, 3)}
+    rows = [Row(doc_id=x.doc_id, text=x.text.replace("password=", "unmarked ") + f" {unmarked[x.doc_id]} end" if x.doc_id in unmarked else x.text + (f" token={key(24)}" if x.doc_id % 30 == 1 else "")) for x in rows]
+    df = spark.createDataFrame(rows)
+    model = ss.train(df)
+    found = {x.doc_id: x.spans for x in ss.scan(df, model).collect()}
+    where = {x.doc_id: x.text.index(unmarked[x.doc_id]) for x in rows if x.doc_id in unmarked}
+    assert np.mean([f"markov:{at}:{at + 40}" in found[i] for i, at in where.items()]) > 0.99
+    assert sum(unmarked[x.doc_id] in x.text for x in ss.redact(df, model).collect() if x.doc_id in unmarked) < 0.01 * len(unmarked)
+    plain = [w for w in (word() + word() + word() for _ in range(6000)) if len(w) >= 20]
+    assert (model.scores(plain) > model.threshold).mean() < 0.01
+
+
 def test_rows(spark):
     df = spark.createDataFrame([Row(doc_id=1, text=None, spans="clash"), Row(doc_id=None, text="", spans=""), Row(doc_id=3, text="é token = abcdef1", spans=""), Row(doc_id=3, text="é token = abcdef1", spans="")])
     model = ss.train(df)
