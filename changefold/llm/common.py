@@ -80,6 +80,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(table: DataFrame) -> None:
+    """Deletes the files of a `saved` table that nothing reads any more."""
+    jvm, conf = table.sparkSession.sparkContext._jvm, table.sparkSession._jsparkSession.sessionState().newHadoopConf()
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def share(column: Column | str, rows: int, bound: int) -> Column:
     """True for about `bound` of `rows` rows, chosen by a hash of the column: a bounded sample that any retry repeats."""
     if rows <= bound:

@@ -3,8 +3,9 @@ answers back to the text.
 
 A row for each hash would be many times the size of the texts.  Here the hashes of a block of texts travel as one
 binary value for each bucket of the hash space, four or eight bytes a hash; a bucket's task sees all of them, and
-answers with one byte for each in the order they came.  Blocks are runs of rows of a file scan, named by row number,
-so the second pass finds the same blocks; the hashes themselves are computed again, not kept.  Blocks grow with the
+answers with one byte for each in the order they came.  Blocks are runs of rows of a saved table, which holds the
+number of each row and of its block, so every pass finds the same blocks however its scan is split; the hashes
+themselves are computed again, not kept.  Blocks grow with the
 number of buckets, so the binary values stay long and their number follows the input.
 """
 
@@ -27,10 +28,11 @@ ANSWERS = "block long, seq long, bucket int, codes binary"
 ASKED = "bucket int, block long, seq long, items binary"
 
 
-def numbered(df: DataFrame) -> DataFrame:
-    """Adds rid and block.  `df` must be a plain read of files, whose rows have the same numbers in every pass."""
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """`df` with rid and block, saved once: a scan numbers rows by its splits, which follow the cluster's cores when a
+    pass is planned, so numbers made in each pass would differ."""
     bits = max(BLOCK_ROWS, buckets(df.sparkSession) - 1).bit_length() - (0 if buckets(df.sparkSession) > BLOCK_ROWS else 1)
-    return df.withColumn("rid", F.monotonically_increasing_id()).withColumn("block", F.shiftright("rid", bits))
+    return common.saved(df.withColumn("rid", F.monotonically_increasing_id()).withColumn("block", F.shiftright("rid", bits)), name)
 
 
 def buckets(spark: SparkSession) -> int:

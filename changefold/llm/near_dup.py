@@ -266,13 +266,22 @@ def _stars(edges: DataFrame) -> bool:
 
 
 def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
-    """rid, doc_id, class_id and whether the row is its class's first, for every row of `df`, a plain read of files."""
-    spark = df.sparkSession
-    rows = exchange.numbered(df.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")))
-    rows = rows.withColumn("key", F.unhex(F.md5("text")))
-    docs = df.count()
-    made = common.saved(sketches(rows, docs), "near-dup-sketches")
-    exchange.release(spark)
+    """rid, doc_id, class_id and whether the row is its class's first, for every row of `df`."""
+    rows = exchange.numbered(df.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")), "near-dup-rows")
+    made = _sketched(rows)
+    common.forget(rows)  # what follows reads the sketches, which hold the texts
+    return _classes(made, least)
+
+
+def _sketched(rows: DataFrame) -> DataFrame:
+    """The saved sketches of a numbered table (rid, block, doc_id, text)."""
+    made = common.saved(sketches(rows.withColumn("key", F.unhex(F.md5("text"))), rows.count()), "near-dup-sketches")
+    exchange.release(rows.sparkSession)
+    return made
+
+
+def _classes(made: DataFrame, least: float) -> DataFrame:
+    spark, docs = made.sparkSession, made.count()
     copies = common.saved(made.groupBy("key").agg(F.min("rid").alias("rep"), F.min("doc_id").alias("least"), F.min_by("bands", "rid").alias("bands"), F.max(F.octet_length("text")).alias("size")), "near-dup-copies")
     # A band's number is in its hash, so the hash alone names the bucket.
     spread = copies.select(F.col("rep").alias("rid"), "size", F.explode("bands").alias("bucket"))
@@ -289,9 +298,11 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: fl
 
 
 def distinct(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """`df`, a plain read of files, with one row of each class."""
-    first = classes(df, doc_id, text).filter("first").select("rid")
-    return exchange.numbered(df).drop("block").join(first, "rid", "left_semi").drop("rid")
+    """`df` with one row of each class."""
+    rows = exchange.numbered(df, "near-dup-rows")
+    made = _sketched(rows.select("rid", "block", F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")))
+    first = _classes(made, SIMILARITY).filter("first").select("rid")
+    return rows.join(first, "rid", "left_semi").select(*df.columns)
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -116,9 +116,8 @@ def repeats(df: DataFrame, text: str = "text", length: int = LENGTH, rounds: int
     spark = df.sparkSession
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     keyed = df.withColumn("_text", t).withColumn("_key", F.unhex(F.md5("_text")))
-    texts = common.saved(keyed.groupBy(F.col("_key").alias("key")).agg(F.first("_text").alias("text"), F.count("*").alias("copies")), "substring-texts")
+    rows = exchange.numbered(keyed.groupBy(F.col("_key").alias("key")).agg(F.first("_text").alias("text"), F.count("*").alias("copies")), "substring-texts")
     exchange.release(spark)
-    rows = exchange.numbered(texts)
     n = exchange.buckets(spark)
 
     def ask_samples(part: pa.RecordBatch) -> np.ndarray:

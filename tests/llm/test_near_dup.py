@@ -72,6 +72,27 @@ def test_classes(spark):
     assert kept.count() == len(set(brute(values))) and kept.columns == ["doc_id", "text", "key"]
 
 
+def test_classes_when_scans_split_anew(spark, monkeypatch):
+    """Files are dealt to other tasks between passes, as if executors came and went."""
+    values = texts(6)
+    path = fresh_dir(spark, "near")
+    spark.createDataFrame(list(enumerate(values)), "doc_id long, text string").repartition(12).write.parquet(path)
+    key = "spark.sql.files.openCostInBytes"
+    was = spark.conf.get(key)
+    monkeypatch.setattr(nd.exchange, "release", lambda s: s.conf.set(key, "1" if s.conf.get(key) != "1" else "64m"))
+    try:
+        got = {r.doc_id: r for r in nd.classes(spark.read.parquet(path)).collect()}
+        kept = [r.text for r in nd.distinct(spark.read.parquet(path)).collect()]
+    finally:
+        spark.conf.set(key, was)
+    want = brute(values)
+    assert [got[i].class_id for i in range(len(values))] == want
+    of = {}
+    for t, c in zip(values, want, strict=True):
+        of[t] = c
+    assert sorted(of[t] for t in kept) == sorted(set(want))
+
+
 def test_classes_over_many_tiles(spark, monkeypatch):
     monkeypatch.setattr(nd, "TILE_BYTES", 1500)
     r = random.Random(8)

@@ -42,6 +42,41 @@ def test_removed(spark, seed, length):
     assert [got[i] for i in range(len(values))] == brute(values, length)
 
 
+def test_removed_when_scans_split_anew(spark, monkeypatch):
+    def release(s):  # as if executors came and went between passes
+        s.conf.set("spark.sql.files.maxPartitionBytes", "64m" if s.conf.get("spark.sql.files.maxPartitionBytes") == "2k" else "2k")
+
+    monkeypatch.setattr(sd.exchange, "release", release)
+    monkeypatch.setattr(sd.exchange, "buckets", lambda s: 4)
+    values = make(3, 200)
+    df = spark.createDataFrame(list(enumerate(values)), "doc_id long, text string")
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    monkeypatch.setattr(sd.common, "saved", _small_groups(sd.common.saved))
+    try:
+        got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in sd.dedup(df.coalesce(1), rounds=2).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    assert [got[i] for i in range(len(values))] == brute(values, 200)
+
+
+def _small_groups(saved):
+    """Tables of small row groups, so that a file can be split."""
+
+    def save(df, name):
+        conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        for k in ("parquet.block.size", "parquet.page.size"):
+            conf.set(k, "1024")
+        conf.set("parquet.page.size.row.check.min", "1")
+        conf.set("parquet.block.size.row.check.min", "1")
+        try:
+            return saved(df, name)
+        finally:
+            for k in ("parquet.block.size", "parquet.page.size", "parquet.page.size.row.check.min", "parquet.block.size.row.check.min"):
+                conf.unset(k)
+
+    return save
+
+
 def test_cover():
     d = sd.singer(sd.PRIME)
     assert len(d) == 12 and {(a - b) % sd.PERIOD for a in d for b in d} == set(range(sd.PERIOD))
