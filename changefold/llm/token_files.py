@@ -47,9 +47,9 @@ class WordCodec:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model, self.byte_level = self.tokenizer.model, ByteLevel(add_prefix_space=False, use_regex=False)
         self.size = self.tokenizer.get_vocab_size()
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.older_pieces: dict[str, bytes] = {}
@@ -74,7 +74,7 @@ class WordCodec:
             return out
 
     def _word(self, word: str) -> bytes:
-        if not PLAIN.fullmatch(word):
+        if not PLAIN.fullmatch(word) or any(a in word for a in self.added):
             return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join([self.pieces.get(p) or self._piece(p) for p in PIECE.findall(word.lower())])
 

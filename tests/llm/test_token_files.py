@@ -34,6 +34,13 @@ def test_equals_the_library(words, text):
     assert np.frombuffer(words.encode(text), "<u4").tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", ["a <|endoftext|> b", "x<|endoftext|>y", "<|startoftext|>", "é<|endoftext|>'s", "<|ENDOFTEXT|> <|endoftext", "<|endoftext|><|startoftext|>\n<|endoftext|>"])
+def test_added_tokens_as_a_fresh_library(words, text):
+    from tokenizers import Tokenizer
+
+    assert np.frombuffer(words.encode(text), "<u4").tolist() == Tokenizer.from_file(VOCABULARY).encode(text, add_special_tokens=False).ids
+
+
 def test_shards(spark):
     texts = {5: "the one thing", 2: None, 9: "", 7: "Großer Straßen\nñandú " * 5000, 3: "the the the"}
     rows = [Row(doc_id=i, text=t, ids="clash") for i, t in texts.items()] + [Row(doc_id=None, text="x y", ids=""), Row(doc_id=3, text="the the the", ids="")]
