@@ -90,6 +90,36 @@ def test_stateful_silver_stream(spark, tmp_base):
     assert _rows(jobs.read_silver(spark, cfg, EV)) == _batch_state(spark)
 
 
+def test_silver_writers_do_not_share_a_log(spark, tmp_base):
+    cfg = _cfg(f"{tmp_base}/a")
+    _write_messages(spark, cfg.message_path)
+    jobs.run_once(spark, cfg, EV)
+    last = spark.read.parquet(cfg.silver_path(EV.name)).agg(F.max("_batch_id")).first()[0]
+    jobs.compact_silver(spark, cfg, EV, last, grace_batches=0)
+    with pytest.raises(RuntimeError, match="belongs to the silver query"):
+        jobs.start_silver_stateful(spark, cfg, EV)
+    lost = _cfg(f"{tmp_base}/a")  # the log and base remain, the checkpoint is another's or gone
+    object.__setattr__(lost, "checkpoint", lambda layer, table: f"{tmp_base}/other/{layer}/{table}")
+    with pytest.raises(RuntimeError, match="was not written by silver_stateful"):
+        jobs.start_silver_stateful(spark, lost, EV)
+    assert _rows(jobs.read_silver(spark, cfg, EV)) == _batch_state(spark)
+
+
+def test_stateful_silver_goes_on_after_its_own_compaction(spark, tmp_base):
+    cfg = _cfg(tmp_base)
+    _write_messages(spark, cfg.message_path)
+    for start in (jobs.start_raw, jobs.start_silver_stateful):
+        start(spark, cfg, EV).awaitTermination()
+    last = spark.read.parquet(cfg.silver_path(EV.name)).agg(F.max("_batch_id")).first()[0]
+    jobs.compact_silver(spark, cfg, EV, last, grace_batches=0)
+    q = jobs.start_silver_stateful(spark, cfg, EV)
+    q.awaitTermination()
+    assert q.exception() is None
+    assert _rows(jobs.read_silver(spark, cfg, EV)) == _batch_state(spark)
+    with pytest.raises(RuntimeError, match="belongs to the silver_stateful query"):
+        jobs.start_silver(spark, cfg, EV)
+
+
 def test_compaction_keeps_state(spark, tmp_base):
     cfg = _cfg(tmp_base)
     _write_messages(spark, cfg.message_path)
