@@ -39,6 +39,23 @@ def test_target_documents_stay(spark):
     assert len(again) == 100
 
 
+def test_toxic_documents_go(spark):
+    r = random.Random(5)
+    words, abuse = [f"w{i}" for i in range(300)], [f"vile{i}" for i in range(6)]
+    texts = [[r.choice(words) for _ in range(r.randint(50, 400))] for _ in range(1200)]
+    toxic = {i for i in range(1200) if i % 7 == 0}
+    for i in toxic:
+        for _ in range(2):
+            texts[i][r.randrange(len(texts[i]))] = r.choice(abuse)
+    rows = [Row(doc_id=i, text=" ".join(t)) for i, t in enumerate(texts)]
+    labels = spark.createDataFrame([Row(doc_id=i, quality=1, toxic=int(i in toxic)) for i in range(0, 1200, 2)])
+    kept = {x.doc_id: x.kept for x in im.resample(spark.createDataFrame(rows), labels).collect()}
+    assert np.mean([kept[i] for i in kept if i not in toxic]) > 0.95
+    assert np.mean([kept[i] for i in toxic]) < 0.05
+    none = im.resample(spark.createDataFrame(rows), labels.filter("toxic = 0")).filter("kept").count()
+    assert none > 1100  # without toxic labels nothing is held against a document
+
+
 def test_odd_rows(spark):
     df = spark.createDataFrame([(None, None), (1, ""), (1, ""), (2, "a b")], "doc_id long, text string")
     labels = spark.createDataFrame([(None, 1, None), (9, None, 0)], "doc_id long, quality int, toxic int")
