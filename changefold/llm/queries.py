@@ -12,6 +12,7 @@ from .quality_rules import op10_quality_rules
 from .secret_scan import op9_secret_scan
 from .substring_dedup import op2_substring_dedup
 from .token_files import op7_token_files
+from .whitening import op12_whitening
 
 QUERIES = {
     "op1_importance": op1_importance,
@@ -24,5 +25,6 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
+    "op12_whitening": op12_whitening,
 }
 SQL: dict[str, str] = {}
