@@ -156,10 +156,10 @@ _WORD_BYTE = np.ones(256, bool)
 _WORD_BYTE[[9, 10, 11, 12, 13, 32]] = False
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words (runs of other than ASCII white space) of all texts, and how many each text has."""
+def words(data: np.ndarray, offsets: np.ndarray, word_byte: np.ndarray = _WORD_BYTE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words (runs of word bytes: other than ASCII white space) of all texts, and how many each text has."""
     inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = _WORD_BYTE[data]
+    inside[1:-1] = word_byte[data]
     starts = inside[1:-1] & ~inside[:-2]
     first = offsets[:-1][offsets[:-1] < offsets[1:]]
     starts[first] = inside[1:-1][first]  # a text begins a word even if the one before ends without white space
