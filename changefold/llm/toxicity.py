@@ -3,9 +3,9 @@
 Texts are folded first: compatibility forms and marks go, letters of other scripts that look like Latin ones become
 them, digits and signs that stand for letters inside words become those (LOOKS; `l`, `i`, `1`, `|` and `!` are one class),
 everything else parts words.  The lexicon holds word beginnings and whole words with weights; an Aho-Corasick automaton finds
-them all in one pass over the whole text.  A word counts once, with its heaviest entry.  Exception phrases, a word
-alone or with a neighbour, take the entries inside them out.  The sum of weights is divided by 1 + log(1 + words /
-LENGTH), and a logistic curve maps it to the score.
+them all in one pass over the whole text.  A word counts with its heaviest entry.  Exception phrases, a word
+alone or with a neighbour, take the entries inside them out.  A word met again adds less (1 + log of its count).  The
+sum of weights is divided by 1 + log(1 + words / LENGTH), and a logistic curve maps it to the score.
 
 Learning uses a bounded sample of labelled documents (SAMPLE).  Tasks count, for each fold, how many toxic and other documents
 hold an entry; an entry stays if its share of toxic documents exceeds the base rate beyond chance among all entries
@@ -96,13 +96,13 @@ class Lexicon:
         found.make_automaton()
         return found
 
-    def hits(self, words: list[str], automaton: ahocorasick.Automaton) -> dict[int, float]:
+    def hits(self, text: str, automaton: ahocorasick.Automaton) -> dict[int, float]:
         """Where in ` word word ... ` a word with an entry begins, and its heaviest entry's weight."""
         best: dict[int, float] = {}
         covered: list[tuple[int, int]] = []
         if not len(automaton):
             return best
-        for end, (size, weight, exception) in automaton.iter(f" {' '.join(words)} "):
+        for end, (size, weight, exception) in automaton.iter(text):
             begin = end - size + 1
             if weight is not None and weight > best.get(begin, 0.0):
                 best[begin] = weight
@@ -114,8 +114,16 @@ class Lexicon:
         return best
 
 
-def amount(words: list[str], hits: dict[int, float]) -> float:
-    return sum(hits.values()) / (1 + np.log1p(len(words) / LENGTH))
+def joined(words: list[str]) -> str:
+    return f" {' '.join(words)} "
+
+
+def amount(words: list[str], lexicon: Lexicon, automaton: ahocorasick.Automaton) -> float:
+    text = joined(words)
+    hits = lexicon.hits(text, automaton)
+    times = Counter(text[at : text.index(" ", at + 1)] for at in hits)
+    weight = {text[at : text.index(" ", at + 1)]: w for at, w in hits.items()}
+    return sum(w * (1 + np.log(times[word])) for word, w in weight.items()) / (1 + np.log1p(len(words) / LENGTH))
 
 
 def _counted(df: DataFrame, of) -> DataFrame:
@@ -162,7 +170,7 @@ def chosen(counts: dict[str, tuple[int, int]], n_toxic: int, n_other: int) -> di
 def phrases(words: list[str], lexicon: Lexicon, automaton: ahocorasick.Automaton) -> Iterator[str]:
     """The words with an entry, alone and with the word before and after."""
     at = 1
-    begins = lexicon.hits(words, automaton)
+    begins = lexicon.hits(joined(words), automaton)
     for k, w in enumerate(words):
         if at - 1 in begins:
             yield f" {w} "
@@ -217,7 +225,7 @@ def _amounts(df: DataFrame, keep: str, lexicons: dict[int | None, Lexicon], sche
         for i, (text, k) in enumerate(zip(part.column("text").to_pylist(), which, strict=True)):
             words = fold(text)
             lexicon, automaton = ready[k]
-            out[i] = amount(words, lexicon.hits(words, automaton))
+            out[i] = amount(words, lexicon, automaton)
         return extra(part, out)
 
     return common.map_slices(df, run, schema)
