@@ -47,13 +47,13 @@ def sequence(bronze_df: DataFrame) -> Column:
     )
 
 
-def changes(bronze_df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Bronze -> (key, op, seq, before, after[, _batch_id])."""
+def changes(bronze_df: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Bronze -> (key, op, seq, before, after[, _batch_id][, kept columns])."""
     key = F.when(F.col("op") == specs.DELETE_OP, F.col("before")[spec.key]) \
         .otherwise(F.col("after")[spec.key])
     extra = ["_batch_id"] if "_batch_id" in bronze_df.columns else []
     return bronze_df.select(key.alias(spec.key), "op", sequence(bronze_df).alias("_seq"),
-                            "before", "after", *extra)
+                            "before", "after", *extra, *keep)
 
 
 def event_states(changes_df: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -3,58 +3,53 @@ its row, valid from its own time until the next event of the same key.
 
 ``lead() over (partition by key order by seq)`` would sort all events of one
 key in one task, which breaks when a single key holds a large share of the
-log.  ``next_in_group`` computes the same "next value in the group" with a
-global range partitioning on ``(key, order)`` instead: a hot key is split
-across range partitions by its order column, the lead is taken inside each
-partition, and the last row of a key in one partition takes the first row
-of that key in the following partition.  That hand-off table has one row
-per (range partition, key), so its per-key window is bounded by the number
-of partitions.
-
-The range-partitioned log is materialised once with a reliable
-``checkpoint()`` (in the session's checkpoint directory): Spark samples
-range bounds with a seed tied to the plan, so two separately planned
-branches could otherwise disagree on which partition a row is in.
+log.  ``next_in_group`` splits each key by time buckets instead: the log is
+shuffled once, on ``(key, bucket)``, and the lead is taken inside each
+bucket.  The last event of a bucket takes the first event of the key's next
+bucket, handed over by a table of bucket heads: (key, bucket, time), combined
+inside each map task before it is shuffled, so it is narrow, and a hot key
+has one row per bucket in it.
+
+A bucket is a function of the event alone, so any retry or second pass finds
+the same one; nothing is sampled and nothing is written in between.  A task
+holds a key's events of one bucket; narrow buckets (``bucket_ms``) bound it,
+at the price of more heads.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from changefold import specs
 from changefold.operators.fold import changes
-from changefold.session import work_dir
 from changefold.specs import TableSpec
 
+BUCKET_MS = 60_000
 
-def next_in_group(df: DataFrame, key: str, order: str, take: str, out: str,
-                  partitions: int | None = None) -> DataFrame:
+
+def next_in_group(df: DataFrame, key: str, order: str, take: str, out: str, bucket: Column) -> DataFrame:
     """Add ``out`` = ``take`` of the next row (by ``order``) of the same
     ``key``; null for the last row of a key.  ``order`` must be unique
-    within a key and non-null."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    work_dir(df.sparkSession)  # makes sure a checkpoint directory is set
-    ranged = (df.repartitionByRange(n, F.col(key), F.col(order))
-              .withColumn("_pid", F.spark_partition_id())
-              .checkpoint(eager=True))
-    w = Window.partitionBy("_pid", key).orderBy(order)
-    local = (ranged.withColumn("_local_next", F.lead(take).over(w))
-             .withColumn("_is_tail", F.lead(F.lit(True)).over(w).isNull()))
-    heads = ranged.groupBy("_pid", key).agg(F.min_by(take, order).alias("_head"))
-    succ = heads.select("_pid", key, F.lead("_head").over(Window.partitionBy(key).orderBy("_pid"))
-                        .alias("_succ"))
-    joined = local.join(succ, ["_pid", key], "left")
-    return joined.withColumn(out, F.when(F.col("_is_tail"), F.col("_succ")).otherwise(F.col("_local_next"))) \
-        .drop("_pid", "_local_next", "_is_tail", "_succ")
-
-
-def history(bronze_df: DataFrame, spec: TableSpec, partitions: int | None = None) -> DataFrame:
+    within a key and non-null, ``take`` non-null; ``bucket`` must not fall
+    as ``order`` rises."""
+    bucketed = df.withColumn("_bucket", bucket)
+    w = Window.partitionBy(key, "_bucket").orderBy(order)
+    local = bucketed.withColumn("_local_next", F.lead(take).over(w))
+    heads = bucketed.groupBy(key, "_bucket").agg(F.min(F.struct(F.col(order), F.col(take))).alias("_head"))
+    succ = heads.select(key, "_bucket", F.lead(F.col("_head")[take]).over(
+        Window.partitionBy(key).orderBy("_bucket")).alias("_succ"))
+    return (local.join(succ, [key, "_bucket"], "left")
+            .withColumn(out, F.coalesce("_local_next", "_succ")).drop("_bucket", "_local_next", "_succ"))
+
+
+def history(bronze_df: DataFrame, spec: TableSpec, bucket_ms: int = BUCKET_MS) -> DataFrame:
     """One row per change event: key, op, ``valid_from_ms``, ``valid_to_ms``
     (null while current), the row image (``before`` for deletes) converted
     to silver types, and ``_deleted``."""
     ch = changes(bronze_df, spec).withColumn("_from", F.col("_seq.ts_ms"))
-    versions = next_in_group(ch, spec.key, "_seq", "_from", "_to", partitions)
+    bucket = F.floor(F.col("_from") / F.lit(bucket_ms))
+    versions = next_in_group(ch, spec.key, "_seq", "_from", "_to", bucket)
     img = F.coalesce(F.col("after"), F.col("before"))
     cols = [versions[spec.key], F.col("op"),
             F.col("_from").alias("valid_from_ms"), F.col("_to").alias("valid_to_ms")]

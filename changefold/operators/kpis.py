@@ -52,35 +52,8 @@ ALL = {
 }
 
 
-# --- the same KPIs as SQL over a serving table/view --------------------------
-
-SERVING_VIEW = "open_orders"
-
-SQL = {
-    "kpi_open_orders_by_date_status": """
-        SELECT delivery_date, status, COUNT(DISTINCT order_id) AS order_count
-        FROM {view} GROUP BY delivery_date, status ORDER BY delivery_date, status""",
-    "kpi_top_delivery_dates": """
-        SELECT delivery_date, COUNT(DISTINCT order_id) AS open_order_count
-        FROM {view} GROUP BY delivery_date
-        ORDER BY open_order_count DESC, delivery_date ASC LIMIT {k}""",
-    "kpi_pending_items_by_product": """
-        SELECT product_id, COUNT(*) AS pending_item_count
-        FROM {view} WHERE status = 'PENDING' GROUP BY product_id
-        ORDER BY pending_item_count DESC, product_id ASC""",
-    "kpi_top_customers_pending": """
-        SELECT customer_id, COUNT(DISTINCT order_id) AS pending_order_count
-        FROM {view} WHERE status = 'PENDING' GROUP BY customer_id
-        ORDER BY pending_order_count DESC, customer_id ASC LIMIT {k}""",
-}
-
-
-def register_serving_view(open_orders: DataFrame, view: str = SERVING_VIEW) -> str:
-    open_orders.createOrReplaceTempView(view)
-    return view
-
-
-def sql(spark, name: str, view: str = SERVING_VIEW, k: int = TOP_K) -> DataFrame:
-    """Run a KPI as SQL over a table or view (a temp view, a catalog table,
-    or a JDBC-backed view)."""
-    return spark.sql(SQL[name].format(view=view, k=int(k)))
+def serve(open_orders: DataFrame, name: str) -> DataFrame:
+    """A KPI by its name over the serving table, however it was read (files, a catalog table, a database)."""
+    if name not in ALL:
+        raise KeyError(f"no KPI {name!r}; there are {', '.join(ALL)}")
+    return ALL[name](open_orders)

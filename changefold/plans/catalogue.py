@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from changefold import specs
 from changefold.functions import convert
-from changefold.operators import fold, gold, history, ingest, kpis, maintain
+from changefold.operators import as_of, fold, gold, history, ingest, kpis, layout, maintain, rollup
 from changefold.session import fresh_dir, prepare
 from changefold.sources import fixtures, store
 
@@ -59,6 +59,17 @@ for _name, _fn in kpis.ALL.items():
     _kpi(_name, _fn)
 
 
+@query("open_orders_bucketed")
+def q_open_orders_bucketed(spark, sf_dir):
+    """The gold join over silver tables kept in buckets of order_id: neither side is shuffled."""
+    base = fresh_dir(spark, "bucketed")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = "changefold_" + base.rsplit("-", 1)[1]
+    orders, items = (store.write_bucketed(df, f"{name}_{part}", f"{base}/{part}", "order_id", n) for part, df in (
+        ("orders", fixtures.silver_orders(spark, sf_dir)), ("items", fixtures.silver_order_items(spark, sf_dir))))
+    return gold.open_orders(orders, items)
+
+
 # --- change capture over the events log ------------------------------------
 
 EVENTS = specs.USER_EVENTS
@@ -147,6 +158,23 @@ def q_cdc_state_as_of(spark, sf_dir):
     return present_state(fold.state_as_of(events_bronze(spark, sf_dir), EVENTS, AS_OF_MS))
 
 
+BASE_MS = 1704672000000  # 2024-01-08 00:00:00 UTC
+
+
+@query("state_as_of_from_base")
+def q_state_as_of_from_base(spark, sf_dir):
+    """The state as of 2024-01-15 from a base kept for 2024-01-08 and the newer part of the log: batches that
+    ended before the base are not read."""
+    base = fresh_dir(spark, "as-of")
+    b = events_bronze(spark, sf_dir)
+    b.repartition("_batch_id").write.partitionBy("_batch_id").parquet(f"{base}/bronze")
+    log = spark.read.schema(b.schema).parquet(f"{base}/bronze")
+    half = log.agg((F.max("_batch_id") / 2).cast("long")).first()[0]
+    # The base is made when half of the log has arrived; the rest comes after it.
+    as_of.write_base(log.filter(F.col("_batch_id") <= F.lit(half)), EVENTS, f"{base}/kept", BASE_MS)
+    return present_state(as_of.state_as_of(log, EVENTS, f"{base}/kept", AS_OF_MS))
+
+
 @query("cdc_history")
 def q_cdc_history(spark, sf_dir):
     """Type-2 history: each event's version and its validity interval."""
@@ -270,6 +298,14 @@ def q_compact_clustered(spark, sf_dir):
     return t.select("order_id", "order_date", "delivery_date", "customer_id", "status", "_deleted")
 
 
+@query("compact_zordered")
+def q_compact_zordered(spark, sf_dir):
+    """Rewrite silver orders along the curve over (status, delivery_date); read back."""
+    out = fresh_dir(spark, "zorder-orders")
+    t = maintain.compact(fixtures.silver_orders(spark, sf_dir), out, ["status", "delivery_date"], curve=True)
+    return t.select("order_id", "order_date", "delivery_date", "customer_id", "status", "_deleted")
+
+
 # --- the same fold under Structured Streaming --------------------------------
 
 @query("cdc_state_stream")
@@ -343,3 +379,202 @@ def q_open_orders_stream(spark, sf_dir):
     if out is None:
         raise RuntimeError("the gold stream wrote no version")
     return out
+
+
+# --- updates and soft deletes on all four tables -----------------------------
+
+def changed_bronze(spark, sf_dir, spec):
+    msgs = fixtures.to_messages(fixtures.table_changes(spark, sf_dir, spec))
+    return ingest.bronze(ingest.classify(msgs, spec))
+
+
+def changed_state(spark, sf_dir, spec):
+    """Snapshot, updates, deletes and re-inserts through JSON, folded batch by batch."""
+    return fold.incremental_state(changed_bronze(spark, sf_dir, spec), spec)
+
+
+def with_audit(silver, *columns):
+    return silver.select(*columns, convert.timestamp_to_epoch_ms(F.col("updated_at")).alias("updated_at_ms"),
+                         convert.timestamp_to_epoch_ms(F.col("created_at")).alias("created_at_ms"), "_deleted")
+
+
+@query("orders_changed_state")
+def q_orders_changed_state(spark, sf_dir):
+    """orders after updates (a null status too), soft deletes and re-inserts."""
+    return with_audit(changed_state(spark, sf_dir, specs.ORDERS),
+                      "order_id", "order_date", "delivery_date", "customer_id", "status")
+
+
+@query("order_items_changed_state")
+def q_order_items_changed_state(spark, sf_dir):
+    """order_items after updates, soft deletes and re-inserts."""
+    return with_audit(changed_state(spark, sf_dir, specs.ORDER_ITEMS),
+                      "order_item_id", "order_id", "product_id", "quantity")
+
+
+@query("customers_changed_state")
+def q_customers_changed_state(spark, sf_dir):
+    """customers after updates and soft deletes, which deactivate."""
+    return with_audit(changed_state(spark, sf_dir, specs.CUSTOMERS),
+                      "customer_id", "customer_name", "is_active", "customer_address")
+
+
+@query("products_changed_state")
+def q_products_changed_state(spark, sf_dir):
+    """products after price updates, soft deletes (deactivated) and re-inserts (active again)."""
+    return with_audit(changed_state(spark, sf_dir, specs.PRODUCTS), "product_id", "product_name", "barcode",
+                      F.col("unity_price").cast("double").alias("unity_price"), "is_active")
+
+
+@query("orders_delete_keys")
+def q_orders_delete_keys(spark, sf_dir):
+    """Keys and layout dates of deleted orders, from their before images."""
+    return fold.deletes(changed_bronze(spark, sf_dir, specs.ORDERS), specs.ORDERS)
+
+
+@query("open_orders_changed")
+def q_open_orders_changed(spark, sf_dir):
+    """Gold over silver tables with soft-deleted orders and items, null statuses and moved dates."""
+    return gold.open_orders(changed_state(spark, sf_dir, specs.ORDERS), changed_state(spark, sf_dir, specs.ORDER_ITEMS))
+
+
+# --- KPIs kept with the gold versions ----------------------------------------
+
+def drained(query):
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"{query.name} failed: {query.exception()}")
+
+
+@query("kpi_maintained")
+def q_kpi_maintained(spark, sf_dir):
+    """Snapshots and two rounds of changes of orders and items through raw, silver and gold streams; the KPI counts
+    follow each gold refresh by the changed orders alone.  All four KPIs as served, in one table."""
+    from changefold.streaming import jobs
+    from changefold.streaming.config import StreamConfig
+
+    base = fresh_dir(spark, "stream-kpis")
+    cfg = StreamConfig(base_path=base, message_path=f"{base}/messages", available_now=True, maintain_kpis=True)
+    both = (specs.ORDERS, specs.ORDER_ITEMS)
+    msgs = fixtures.to_messages(fixtures.table_changes(spark, sf_dir, both[0])).unionByName(
+        fixtures.to_messages(fixtures.table_changes(spark, sf_dir, both[1])))
+    msgs.write.partitionBy("_batch_id").parquet(f"{base}/arrivals")
+    for step in range(3):
+        store.write_messages(spark.read.parquet(f"{base}/arrivals").filter(F.col("_batch_id") == step)
+                             .drop("_batch_id"), cfg.message_path)
+        for spec in both:
+            jobs.run_once(spark, cfg, spec)
+        drained(jobs.start_gold(spark, cfg))
+    out = None
+    columns = {"delivery_date": "date", "status": "string", "product_id": "long", "customer_id": "long"}
+    for name, r in rollup.ROLLUPS.items():
+        kpi = jobs.read_kpi(spark, cfg, name)
+        if kpi is None:
+            raise RuntimeError(f"the gold stream kept no {name}")
+        part = kpi.select(F.lit(name).alias("kpi"), *[(F.col(c) if c in r.by else F.lit(None)).cast(t).alias(c)
+                                                     for c, t in columns.items()], F.col(r.value).alias("value"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# --- one raw stream, redelivered messages, expiring state ---------------------
+
+@query("raw_fanout_stream")
+def q_raw_fanout_stream(spark, sf_dir):
+    """All topics, and one that no table claims, through one raw stream: rows of each bronze table by operation and of
+    each dead-letter table by reason."""
+    from changefold.streaming import jobs
+    from changefold.streaming.config import StreamConfig
+
+    base = fresh_dir(spark, "stream-fanout")
+    cfg = StreamConfig(base_path=base, message_path=f"{base}/messages", available_now=True, raw_fanout=True)
+    msgs = fixtures.all_topic_messages(spark, sf_dir).unionByName(fixtures.unclaimed_messages(spark, sf_dir))
+    store.write_messages(msgs.drop("_batch_id"), cfg.message_path)
+    tables = tuple(specs.REGISTRY)
+    drained(jobs.start_raw_fanout(spark, cfg, tables))
+    out = None
+    for name in (*tables, jobs.UNKNOWN):
+        for sink, path, column in (("bronze", cfg.bronze_path(name), "op"),
+                                   ("dead_letter", cfg.dead_letter_path(name), "dead_letter_reason")):
+            if not store.batch_ids(spark, path):
+                continue
+            part = spark.read.parquet(path).groupBy(F.col(column).alias("kind")).agg(F.count(F.lit(1)).alias("messages"))
+            part = part.select(F.lit(name).alias("table_name"), F.lit(sink).alias("sink"), "kind", "messages")
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("raw_dedup_stream")
+def q_raw_dedup_stream(spark, sf_dir):
+    """events delivered in two rounds, the second with every fifth message of the first again (and some twice in one
+    round) through the raw stream: each message is one bronze row."""
+    from changefold.streaming import jobs
+    from changefold.streaming.config import StreamConfig
+
+    base = fresh_dir(spark, "stream-dedup")
+    cfg = StreamConfig(base_path=base, message_path=f"{base}/messages", available_now=True, dedup_horizon="400 days")
+    msgs = fixtures.user_event_messages(spark, sf_dir)
+    half = msgs.agg((F.max("_batch_id") / 2).cast("long")).first()[0]
+    first, off = F.col("_batch_id") <= F.lit(half), F.col("offset")
+    for own, again in ((first, first & (off % 7 == 0)), (~first, first & (off % 5 == 0) | ~first & (off % 7 == 0))):
+        store.write_messages(msgs.filter(own).unionByName(msgs.filter(again)).drop("_batch_id"), cfg.message_path)
+        drained(jobs.start_raw(spark, cfg, EVENTS))
+    b = spark.read.schema(jobs.bronze_schema(EVENTS)).parquet(cfg.bronze_path(EVENTS.name))
+    return b.select("partition", "offset", "op", "ts_ms", F.coalesce("after.user_id", "before.user_id").alias("user_id"))
+
+
+@query("orders_state_expiring_stream")
+def q_orders_state_expiring_stream(spark, sf_dir):
+    """Order lifecycles in four rounds by their arrival, some days late, through the raw stream and the silver stream
+    whose state expires by event time -> silver orders."""
+    from changefold.streaming import jobs
+    from changefold.streaming.config import StreamConfig
+
+    base = fresh_dir(spark, "stream-expiring")
+    cfg = StreamConfig(base_path=base, message_path=f"{base}/messages", available_now=True)
+    msgs = fixtures.to_messages(fixtures.late_lifecycle_changes(spark, sf_dir))
+    at = F.unix_millis("timestamp")
+    low, high = msgs.agg(F.min(at), F.max(at)).first()
+    step = max(-(-(high + 1 - low) // 4), 1)
+    msgs.withColumn("_round", F.floor((at - low) / step)).write.partitionBy("_round").parquet(f"{base}/arrivals")
+    for arrival in range(4):
+        store.write_messages(spark.read.parquet(f"{base}/arrivals").filter(F.col("_round") == arrival)
+                             .drop("_round", "_batch_id"), cfg.message_path)
+        drained(jobs.start_raw(spark, cfg, specs.ORDERS))
+        silver = jobs.start_silver_expiring(spark, cfg, specs.ORDERS)
+        drained(silver)
+        jobs.refuse_late(silver)
+    return with_audit(jobs.read_silver(spark, cfg, specs.ORDERS),
+                      "order_id", "order_date", "delivery_date", "customer_id", "status")
+
+
+# --- layout by date, metrics --------------------------------------------------
+
+@query("orders_touched_by_date")
+def q_orders_touched_by_date(spark, sf_dir):
+    """The rows of a date-partitioned orders table that the deletes of a change batch touch: only their dates are
+    read."""
+    out = fresh_dir(spark, "orders-by-date")
+    table = layout.write(fixtures.silver_orders(spark, sf_dir), specs.ORDERS, out)
+    changes = changed_bronze(spark, sf_dir, specs.ORDERS).filter(F.col("op") == specs.DELETE_OP)
+    keys = layout.touched_keys(changes, specs.ORDERS)
+    return layout.touched(table, keys, specs.ORDERS).select("order_id", "order_date", "delivery_date", "customer_id", "status")
+
+
+@query("metric_alerts")
+def q_metric_alerts(spark, sf_dir):
+    """Slow batches, growing lag and dropped late rows in sliding windows of micro-batch metrics."""
+    from changefold.streaming import metrics
+
+    found = metrics.alerts(fixtures.batch_metrics_rows(spark, sf_dir), trigger_ms=17_000, window="1 day",
+                           slide="6 hours", least_batches=2)
+    return found.select("query", F.unix_millis("window_start").alias("window_start_ms"),
+                        F.unix_millis("window_end").alias("window_end_ms"), "alert", "batches", "value")
+
+
+@query("serving_kpis")
+def q_serving_kpis(spark, sf_dir):
+    """The gold table written as a serving table; KPI 3 by a scan of it."""
+    out = fresh_dir(spark, "serving")
+    open_orders_of(spark, sf_dir).write.parquet(out)
+    return kpis.serve(spark.read.parquet(out), "kpi_pending_items_by_product")

@@ -219,3 +219,127 @@ FROM stages""",
 })
 
 SQL["orders_state_stateful_stream"] = SQL["orders_lifecycle_state"]
+
+# --- updates and soft deletes on all four tables -----------------------------
+
+STEP_1, STEP_2 = 1_001_000, 1_002_000
+
+C_ORDERS = f"""
+c_orders AS (
+  SELECT order_id, order_date,
+         CASE WHEN order_id % 10 = 5 THEN delivery_date + 5 ELSE delivery_date END AS delivery_date,
+         customer_id,
+         CASE order_id % 10 WHEN 1 THEN 'COMPLETED' WHEN 2 THEN 'PENDING' WHEN 4 THEN NULL WHEN 6 THEN 'PENDING'
+              ELSE status END AS status,
+         CASE WHEN order_id % 10 BETWEEN 1 AND 5 THEN {STEP_1} WHEN order_id % 10 = 6 THEN {STEP_2}
+              ELSE CAST(epoch_ms(CAST(order_date AS TIMESTAMP)) AS BIGINT) END AS updated_at_ms,
+         CAST(epoch_ms(CAST(order_date AS TIMESTAMP)) AS BIGINT) AS created_at_ms,
+         order_id % 10 = 3 AS _deleted
+  FROM s_orders)"""
+
+C_ITEMS = f"""
+c_items AS (
+  SELECT order_item_id, order_id,
+         CASE WHEN order_item_id % 7 = 3 THEN product_id + 1 ELSE product_id END AS product_id,
+         CAST(CASE order_item_id % 7 WHEN 1 THEN quantity + 1 WHEN 5 THEN 1 ELSE quantity END AS INTEGER) AS quantity,
+         CASE WHEN order_item_id % 7 BETWEEN 1 AND 3 THEN {STEP_1} WHEN order_item_id % 7 = 5 THEN {STEP_2}
+              ELSE CAST(epoch_ms(CAST(ship_date AS TIMESTAMP)) AS BIGINT) END AS updated_at_ms,
+         CAST(epoch_ms(CAST(ship_date AS TIMESTAMP)) AS BIGINT) AS created_at_ms,
+         order_item_id % 7 = 2 AS _deleted
+  FROM s_items)"""
+
+C_OPEN = """
+open_orders AS (
+  SELECT i.order_id, o.delivery_date, o.status, o.customer_id, o.order_date,
+         i.order_item_id, i.product_id, i.quantity
+  FROM c_items i JOIN c_orders o ON i.order_id = o.order_id
+  WHERE NOT i._deleted AND NOT o._deleted AND o.status <> 'COMPLETED')"""
+
+CHANGED_GOLD = with_ctes(S_ORDERS, S_ITEMS, C_ORDERS, C_ITEMS, C_OPEN)
+
+SQL.update({
+    "orders_changed_state": with_ctes(S_ORDERS, C_ORDERS) + "SELECT * FROM c_orders",
+    "order_items_changed_state": with_ctes(S_ITEMS, C_ITEMS) + "SELECT * FROM c_items",
+    "customers_changed_state": f"""
+SELECT c_custkey AS customer_id,
+       c_name || CASE WHEN c_custkey % 10 = 1 THEN ' RENAMED' ELSE '' END AS customer_name,
+       c_acctbal >= 0 AND c_custkey % 10 NOT IN (2, 3) AS is_active,
+       'NATION ' || CAST(c_nationkey AS VARCHAR) AS customer_address,
+       CAST(CASE WHEN c_custkey % 10 BETWEEN 1 AND 3 THEN {STEP_1} ELSE 0 END AS BIGINT) AS updated_at_ms,
+       CAST(0 AS BIGINT) AS created_at_ms,
+       c_custkey % 10 = 2 AS _deleted
+FROM customer""",
+    "products_changed_state": f"""
+SELECT p_partkey AS product_id, p_name || CASE WHEN p_partkey % 10 = 4 THEN ' NEW' ELSE '' END AS product_name,
+       lpad(CAST(p_partkey AS VARCHAR), 12, '0') AS barcode,
+       CAST(CAST(p_retailprice AS DECIMAL(10,2)) + CASE WHEN p_partkey % 10 = 1 THEN 1 ELSE 0 END AS DOUBLE) AS unity_price,
+       p_partkey % 10 NOT IN (2, 3) AS is_active,
+       CAST(CASE WHEN p_partkey % 10 BETWEEN 1 AND 3 THEN {STEP_1} WHEN p_partkey % 10 = 4 THEN {STEP_2} ELSE 0 END
+            AS BIGINT) AS updated_at_ms,
+       CAST(0 AS BIGINT) AS created_at_ms,
+       p_partkey % 10 = 2 AS _deleted
+FROM part""",
+    "orders_delete_keys": f"""
+SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS order_date, CAST({STEP_1} AS BIGINT) AS ts_ms,
+       CAST(1000000000000 + o_orderkey AS BIGINT) AS "offset"
+FROM orders WHERE o_orderkey % 10 IN (3, 6)""",
+    "open_orders_changed": CHANGED_GOLD + "SELECT * FROM open_orders",
+    "kpi_maintained": CHANGED_GOLD + """
+SELECT 'kpi_open_orders_by_date_status' AS kpi, delivery_date, status, CAST(NULL AS BIGINT) AS product_id,
+       CAST(NULL AS BIGINT) AS customer_id, COUNT(DISTINCT order_id) AS value
+FROM open_orders GROUP BY delivery_date, status
+UNION ALL
+SELECT 'kpi_top_delivery_dates', delivery_date, NULL, NULL, NULL, n FROM (
+  SELECT delivery_date, COUNT(DISTINCT order_id) AS n FROM open_orders GROUP BY delivery_date
+  ORDER BY n DESC, delivery_date LIMIT 3)
+UNION ALL
+SELECT 'kpi_pending_items_by_product', NULL, NULL, product_id, NULL, COUNT(*)
+FROM open_orders WHERE status = 'PENDING' GROUP BY product_id
+UNION ALL
+SELECT 'kpi_top_customers_pending', NULL, NULL, NULL, customer_id, n FROM (
+  SELECT customer_id, COUNT(DISTINCT order_id) AS n FROM open_orders WHERE status = 'PENDING' GROUP BY customer_id
+  ORDER BY n DESC, customer_id LIMIT 3)""",
+})
+
+SQL["compact_zordered"] = SQL["compact_clustered"]
+SQL["state_as_of_from_base"] = SQL["cdc_state_as_of"]
+SQL["open_orders_bucketed"] = SQL["open_orders"]
+
+# --- one raw stream, redelivered messages, expiring state ---------------------
+
+SQL.update({
+    "raw_fanout_stream": with_ctes(CH, S_ITEMS) + """
+SELECT 'user_events' AS table_name, 'bronze' AS sink, op AS kind, count(*) AS messages FROM ch
+WHERE damage IS NULL GROUP BY op
+UNION ALL SELECT 'user_events', 'dead_letter', damage, count(*) FROM ch
+WHERE damage IS NOT NULL AND damage <> 'null_value' GROUP BY damage
+UNION ALL SELECT 'orders', 'bronze', 'r', count(*) FROM orders HAVING count(*) > 0
+UNION ALL SELECT 'order_items', 'bronze', 'r', count(*) FROM s_items HAVING count(*) > 0
+UNION ALL SELECT 'products', 'bronze', 'r', count(*) FROM part HAVING count(*) > 0
+UNION ALL SELECT 'customers', 'bronze', 'r', count(*) FROM customer HAVING count(*) > 0
+UNION ALL SELECT 'customers', 'bronze', 'd', count(*) FROM customer WHERE c_acctbal < 0 HAVING count(*) > 0
+UNION ALL SELECT '_unknown', 'dead_letter', 'unknown_topic', count(*) FROM supplier HAVING count(*) > 0""",
+    "raw_dedup_stream": with_ctes(CH) + """
+SELECT part AS "partition", event_id AS "offset", op, ts_ms, user_id FROM ch""",
+    "orders_state_expiring_stream": SQL["orders_lifecycle_state"],
+    "orders_touched_by_date": with_ctes(S_ORDERS) + """
+SELECT order_id, order_date, delivery_date, customer_id, status FROM s_orders WHERE order_id % 10 IN (3, 6)""",
+    "serving_kpis": SQL["kpi_pending_items_by_product"],
+    "metric_alerts": """
+WITH m AS (
+  SELECT event_type AS query, event_id // 100 AS batch_id, CAST(floor(epoch_us(max(ts)) / 1000) AS BIGINT) AS at_ms,
+         1000 * count(*) AS duration, max(event_id) % 997 AS behind, count(*) FILTER (WHERE event_id % 501 = 0) AS late
+  FROM events GROUP BY ALL),
+p AS (SELECT m.*, at_ms // 21600000 * 21600000 - k * 21600000 AS w FROM m, range(4) AS t(k)),
+g AS (SELECT *, behind - lag(behind) OVER (PARTITION BY query, w ORDER BY at_ms, batch_id) AS growth FROM p),
+s AS (
+  SELECT query, w AS window_start_ms, w + 86400000 AS window_end_ms, count(*) AS batches, min(duration) AS shortest,
+         min(growth) AS least_growth, sum(growth) AS growth, sum(late) AS late
+  FROM g GROUP BY query, w)
+SELECT query, window_start_ms, window_end_ms, 'slow_batches' AS alert, batches, CAST(shortest AS DOUBLE) AS value
+FROM s WHERE batches >= 2 AND shortest > 17000
+UNION ALL SELECT query, window_start_ms, window_end_ms, 'growing_lag', batches, CAST(growth AS DOUBLE)
+FROM s WHERE batches >= 2 AND least_growth > 0
+UNION ALL SELECT query, window_start_ms, window_end_ms, 'late_rows_dropped', batches, CAST(late AS DOUBLE)
+FROM s WHERE late > 0""",
+})

@@ -59,12 +59,26 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def submitted() -> bool:
+    """Whether spark-submit started this driver: its master and sizes are set there."""
+    return "PYSPARK_GATEWAY_PORT" in os.environ
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "changefold", extra: dict | None = None) -> SparkSession:
+    """A session with the engine's settings.  Master, driver memory and shuffle partitions are set only as given, or
+    when nothing else sets them: a plain Python process gets ``local[$BENCH_CPUS]``."""
+    builder = SparkSession.builder.appName(app_name)
     cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = (SparkSession.builder.master(master or f"local[{cpus}]").appName(app_name)
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
-               .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g")))
+    if not master and not submitted():
+        master = f"local[{cpus}]"
+    if master:
+        builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
+            shuffle_partitions = shuffle_partitions or int(cpus)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in {**PLAN_SETTINGS, **RESULT_SETTINGS, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

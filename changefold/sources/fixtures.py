@@ -34,6 +34,22 @@ from changefold.functions import convert
 # Customers: active when the account balance is >= 0; customer address is
 #   "NATION <nation key>"; customers with a negative balance are deleted
 #   (at ts_ms 1, after their snapshot at ts_ms 0).
+# Table changes after a snapshot, at ts_ms 1000000 + 1000 * step, by key:
+#   orders mod 10: 1 becomes COMPLETED, 2 becomes PENDING, 3 is deleted, 4 loses
+#     its status, 5 is delivered 5 days later, 6 is deleted and in step 2
+#     created again as PENDING.
+#   order items mod 7: 1 has one more, 2 is deleted, 3 gets the next product,
+#     5 is deleted and in step 2 created again with quantity 1.
+#   customers mod 10: 1 gets " RENAMED" after its name, 2 is deleted, 3 is inactive.
+#   products mod 10: 1 costs 1.00 more, 2 is deleted, 3 is inactive, 4 is deleted
+#     and in step 2 created again with " NEW" after its name.
+# Late order lifecycles: every last stage of an order whose key is a multiple of
+#   11 reaches the broker 3 days late.
+# Messages of a topic that no table claims: one per supplier, on
+#   finance_db.operations.suppliers.
+# Batch metrics: 100 consecutive event ids are one batch, one query per event
+#   type; a batch takes 1000 ms per event, lags by its last event id mod 997,
+#   and drops its events whose id is a multiple of 501.
 # ---------------------------------------------------------------------------
 DELIVERY_DAYS = 10
 EVENT_OPS = {"signup": "c", "purchase": "r", "error": "d"}
@@ -230,6 +246,67 @@ def order_lifecycle_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+CHANGE_MS, CHANGE_STEP_MS = 1_000_000, 1_000
+
+
+def _rules(spec: specs.TableSpec) -> list[tuple]:
+    """(which keys, step, operation, new values) of the changes of a table (see the fixed values above)."""
+    k = F.col(spec.key)
+    if spec is specs.ORDERS:
+        m = k % 10
+        return [(m == 1, 1, "u", {"status": F.lit("COMPLETED")}), (m == 2, 1, "u", {"status": F.lit("PENDING")}),
+                (m == 3, 1, "d", {}), (m == 4, 1, "u", {"status": F.lit(None).cast("string")}),
+                (m == 5, 1, "u", {"delivery_date": F.col("delivery_date") + 5}),
+                (m == 6, 1, "d", {}), (m == 6, 2, "c", {"status": F.lit("PENDING")})]
+    if spec is specs.ORDER_ITEMS:
+        m = k % 7
+        return [(m == 1, 1, "u", {"quanity": F.col("quanity") + 1}), (m == 2, 1, "d", {}),
+                (m == 3, 1, "u", {"product_id": F.col("product_id") + 1}),
+                (m == 5, 1, "d", {}), (m == 5, 2, "c", {"quanity": F.lit(1)})]
+    if spec is specs.CUSTOMERS:
+        m = k % 10
+        return [(m == 1, 1, "u", {"customer_name": F.concat("customer_name", F.lit(" RENAMED"))}), (m == 2, 1, "d", {}),
+                (m == 3, 1, "u", {"is_active": F.lit(False)})]
+    m = k % 10
+    dearer = (convert.wire_decimal(F.col("unity_price")) + 1).cast("decimal(10,2)").cast("string")
+    return [(m == 1, 1, "u", {"unity_price": dearer}), (m == 2, 1, "d", {}), (m == 3, 1, "u", {"is_active": F.lit(False)}),
+            (m == 4, 1, "d", {}), (m == 4, 2, "c", {"product_name": F.concat("product_name", F.lit(" NEW"))})]
+
+
+def table_rows(spark: SparkSession, sf_dir: str, spec: specs.TableSpec) -> DataFrame:
+    """A source table's rows before any change."""
+    read = {"orders": order_rows, "order_items": order_item_rows, "customers": customer_rows, "products": product_rows}
+    return read[spec.name](spark, sf_dir).select(*spec.row_schema.fieldNames())
+
+
+def table_changes(spark: SparkSession, sf_dir: str, spec: specs.TableSpec) -> DataFrame:
+    """The snapshot of a table (batch 0) and its later updates, deletes and re-inserts (batch = step), in one pass."""
+    rows = table_rows(spark, sf_dir, spec)
+    null = F.lit(None).cast(spec.row_schema)
+
+    def image(step: int, new: dict):
+        ts = F.lit(CHANGE_MS + step * CHANGE_STEP_MS).cast("long")
+        return F.struct(*[(new[f] if f in new else ts if f == "updated_at" and step else F.col(f)).alias(f)
+                          for f in spec.row_schema.fieldNames()]).cast(spec.row_schema)
+
+    events = [F.when(when, F.struct(
+        (null if op == "c" else image(0, {})).alias("before"), (null if op == "d" else image(step, new)).alias("after"),
+        F.lit(op).alias("op"), F.lit(step).alias("step"))) for when, step, op, new in _rules(spec)]
+    ev = rows.select(spec.key, F.explode(F.filter(F.array(*events), lambda e: e.isNotNull())).alias("e"))
+    ts = (F.lit(CHANGE_MS) + F.col("e.step") * F.lit(CHANGE_STEP_MS)).cast("long")
+    offset = F.col("e.step") * F.lit(10**12).cast("long") + F.col(spec.key)
+    later = ev.select(
+        "e.before", "e.after", "e.op", ts.alias("ts_ms"),
+        _source_block(spec, ts, offset, F.lit("false")).alias("source"),
+        F.lit(spec.topic).alias("topic"),
+        F.pmod(F.col(spec.key), F.lit(TOPIC_PARTITIONS)).cast("int").alias("partition"),
+        offset.alias("offset"),
+        F.timestamp_millis(ts).alias("timestamp"),
+        F.col("e.step").cast("long").alias("_batch_id"),
+    )
+    return snapshot_changes(rows, spec).unionByName(later)
+
+
 def product_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices alternate between the two wire forms: text for even keys,
     the scale + base64 object for odd keys."""
@@ -355,3 +432,34 @@ def all_topic_messages(spark: SparkSession, sf_dir: str, damage: bool = True) ->
     for s in snaps:
         msgs = msgs.unionByName(to_messages(s))
     return msgs
+
+
+def late_lifecycle_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lifecycles with the broker's times: some last stages arrive days after they happened."""
+    last = F.col("offset") < F.lit(10**12)
+    late = last & (F.col("after.order_id") % 11 == 0)
+    arrival = F.when(late, F.col("timestamp") + F.expr("INTERVAL 3 DAYS")).otherwise(F.col("timestamp"))
+    return order_lifecycle_changes(spark, sf_dir).withColumn("timestamp", arrival)
+
+
+def unclaimed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of a topic that no table claims."""
+    s = read_table(spark, sf_dir, "supplier")
+    return s.select(
+        F.encode(F.to_json(F.struct("s_suppkey", "s_name")), "UTF-8").alias("value"),
+        F.lit(f"{specs.DEFAULT_TOPIC_PREFIX}.suppliers").alias("topic"),
+        F.pmod(F.col("s_suppkey"), F.lit(TOPIC_PARTITIONS)).cast("int").alias("partition"),
+        F.col("s_suppkey").alias("offset"), F.timestamp_millis(F.lit(0)).alias("timestamp"),
+        F.lit(0).cast("long").alias("_batch_id"))
+
+
+def batch_metrics_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Progress rows of micro-batches, as the recorder keeps them."""
+    ev = read_table(spark, sf_dir, "events")
+    at = F.timestamp_millis(convert.ntz_to_epoch_ms(F.max("ts")))
+    return ev.groupBy(F.col("event_type").alias("query"), F.floor(F.col("event_id") / 100).alias("batch_id")).agg(
+        F.lit("run").alias("run_id"), F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("timestamp"),
+        F.count(F.lit(1)).alias("num_input_rows"),
+        (F.count(F.lit(1)) * 1000).alias("batch_duration_ms"),
+        (F.max("event_id") % 997).cast("double").alias("offsets_behind"),
+        F.count_if(F.col("event_id") % 501 == 0).alias("dropped_late_rows"))

@@ -50,3 +50,52 @@ def test_scale_settings_grow_with_input():
     big = scale_settings(100 * 2**40, 8000)
     assert small["spark.sql.shuffle.partitions"] == "8"
     assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (128 * 2**20)
+
+
+def test_command_line_leaves_the_environment_alone(monkeypatch):
+    """An option that is not given does not override its variable; one that is given does."""
+    from changefold import __main__ as cli
+
+    seen = {}
+    monkeypatch.setattr(cli, "build_session", lambda master=None: None)
+    monkeypatch.setattr(cli.jobs, "bootstrap_all", lambda spark, cfg, tables: seen.update(cfg=cfg))
+    monkeypatch.setattr(cli.jobs, "run_all", lambda *a, **kw: None)
+    monkeypatch.setenv("CHANGEFOLD_AVAILABLE_NOW", "true")
+    monkeypatch.setenv("CHANGEFOLD_COMPACT_EVERY", "7")
+    monkeypatch.setenv("CHANGEFOLD_JDBC_URL", "jdbc:env")
+    cli.main(["run", "--base-path", "/x"])
+    assert (seen["cfg"].available_now, seen["cfg"].compact_every, seen["cfg"].jdbc_url) == (True, 7, "jdbc:env")
+    cli.main(["run", "--base-path", "/x", "--no-available-now", "--compact-every", "3", "--jdbc-url", "jdbc:cli",
+              "--purge-deleted-after-days", "180", "--raw-fanout", "--maintain-kpis", "--dedup-horizon", "1 day"])
+    c = seen["cfg"]
+    assert (c.available_now, c.compact_every, c.jdbc_url, c.purge_deleted_after_days) == (False, 3, "jdbc:cli", 180)
+    assert c.raw_fanout and c.maintain_kpis and c.dedup_horizon == "1 day"
+
+
+class _Builder:
+    def __init__(self):
+        self.set = {}
+
+    def __getattr__(self, name):
+        def call(*a):
+            self.set[name if len(a) == 1 else a[0]] = a[-1]
+            return self
+        return call
+
+
+def test_a_submitted_job_keeps_its_master_and_sizes(monkeypatch):
+    from types import SimpleNamespace
+
+    from changefold import session
+
+    for env, master, want in (("1", None, (None, None, None)), ("1", "yarn", ("yarn", None, None)), (None, None, ("local[8]", "8g", "8"))):
+        built = _Builder()
+        built.getOrCreate = lambda: SimpleNamespace(sparkContext=SimpleNamespace(setLogLevel=lambda x: None))
+        monkeypatch.setattr(session, "SparkSession", SimpleNamespace(builder=built))
+        monkeypatch.setattr(session, "prepare", lambda s: s)
+        monkeypatch.delenv("BENCH_CPUS", raising=False)
+        monkeypatch.delenv("SPARK_DRIVER_MEMORY", raising=False)
+        monkeypatch.setenv("PYSPARK_GATEWAY_PORT", env) if env else monkeypatch.delenv("PYSPARK_GATEWAY_PORT", raising=False)
+        session.build_session(master=master)
+        got = tuple(built.set.get(k) for k in ("master", "spark.driver.memory", "spark.sql.shuffle.partitions"))
+        assert got == want

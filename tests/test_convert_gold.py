@@ -4,6 +4,7 @@ import datetime as dt
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+import pytest
 from pyspark.sql import functions as F
 
 from changefold.functions import convert
@@ -95,15 +96,18 @@ def test_kpis_tie_break_by_key(spark):
     assert k1 == [(d1, "PENDING", 2), (d2, "PENDING", 2), (d2, "PROCESSING", 1)]
 
 
-def test_kpi_sql_over_serving_view_equals_dataframe_api(spark):
+def test_kpis_over_a_serving_table(spark, tmp_base):
     from changefold.sources import fixtures
     from conftest import SF0001
     oo = gold.open_orders(fixtures.silver_orders(spark, SF0001), fixtures.silver_order_items(spark, SF0001))
-    view = kpis.register_serving_view(oo, "open_orders_test")
+    oo.write.parquet(f"{tmp_base}/serving")
+    table = spark.read.parquet(f"{tmp_base}/serving")
     for name, fn in kpis.ALL.items():
         a = [tuple(r) for r in fn(oo).collect()]
-        b = [tuple(r) for r in kpis.sql(spark, name, view).collect()]
+        b = [tuple(r) for r in kpis.serve(table, name).collect()]
         assert a == b, name
+    with pytest.raises(KeyError):
+        kpis.serve(table, "kpi_unknown")
 
 
 def test_ntz_epoch_ms_ignores_session_zone(spark):

@@ -1,0 +1,106 @@
+"""Silver with state that expires by event time: same rows, a store that shrinks, no silent loss."""
+
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from changefold import specs
+from changefold.operators import fold, ingest
+from changefold.sources import fixtures, store
+from changefold.streaming import jobs
+from changefold.streaming.config import StreamConfig
+
+from conftest import SF0001
+
+EV, ORD = specs.USER_EVENTS, specs.ORDERS
+
+
+def _drain(q):
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return q
+
+
+def _rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_completed_orders_leave_the_store(spark, tmp_base):
+    """Orders of several years in rounds by arrival: the store holds one round's last days, silver holds all."""
+    cfg = StreamConfig(base_path=tmp_base, message_path=f"{tmp_base}/messages", available_now=True)
+    changes = fixtures.late_lifecycle_changes(spark, SF0001)
+    msgs = fixtures.to_messages(changes)
+    total, removed, seen = [], 0, 0
+    years = sorted(r[0] for r in msgs.select(F.year("timestamp")).distinct().collect())
+    for year in years:
+        part = msgs.filter(F.year("timestamp") == year)
+        seen += part.count()
+        store.write_messages(part.drop("_batch_id"), cfg.message_path)
+        _drain(jobs.start_raw(spark, cfg, ORD))
+        q = _drain(jobs.start_silver_expiring(spark, cfg, ORD))
+        jobs.refuse_late(q)
+        ops = [op for p in q.recentProgress for op in p["stateOperators"]]
+        total.append(ops[-1]["numRowsTotal"])
+        removed += sum(op["numRowsRemoved"] for op in ops)
+    assert len(years) > 3 and removed > 0.9 * total[0] * (len(years) - 1)
+    assert max(total) < fixtures.order_rows(spark, SF0001).count() / 2  # fewer rows than keys
+    bronze = ingest.bronze(ingest.classify(msgs, ORD))
+    assert _rows(jobs.read_silver(spark, cfg, ORD)) == _rows(fold.current_state(bronze, ORD))
+
+
+def _message(off, key, day, arrived, op="u"):
+    at = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    ts = int((at + dt.timedelta(days=day)).timestamp() * 1000)
+    env = {"op": op, "ts_ms": ts, "source": {"lsn": off}, "before": None, "after": {"user_id": key, "value": float(off), "props": None}}
+    return bytearray(json.dumps(env).encode()), EV.topic, 0, off, at + dt.timedelta(days=arrived)
+
+
+def _deliver(spark, cfg, rows):
+    store.write_messages(spark.createDataFrame(rows, "value binary, topic string, partition int, offset long, timestamp timestamp"),
+                         cfg.message_path)
+    _drain(jobs.start_raw(spark, cfg, EV))
+    return _drain(jobs.start_silver_expiring(spark, cfg, EV))
+
+
+def test_an_event_that_happened_long_ago_still_counts(spark, tmp_base):
+    """Key 1 changed on day 2, which arrives on day 40, after its change of day 30: only its place among the key's
+    events is old."""
+    cfg = StreamConfig(base_path=tmp_base, message_path=f"{tmp_base}/messages", available_now=True)
+    _deliver(spark, cfg, [_message(1, 1, 0, 0, "c"), _message(2, 2, 0, 0, "c")])
+    _deliver(spark, cfg, [_message(3, 1, 30, 30)])
+    q = _deliver(spark, cfg, [_message(4, 1, 2, 40), _message(5, 2, 3, 40)])
+    assert jobs.late_rows(q) == 0
+    got = {r.user_id: r.value for r in jobs.read_silver(spark, cfg, EV).collect()}
+    assert got == {1: 3.0, 2: 5.0}
+
+
+def test_arrival_out_of_order_stops_the_query(spark, tmp_base):
+    cfg = StreamConfig(base_path=tmp_base, message_path=f"{tmp_base}/messages", available_now=True)
+    _deliver(spark, cfg, [_message(1, 1, 0, 0, "c")])
+    _deliver(spark, cfg, [_message(2, 1, 90, 90)])
+    q = _deliver(spark, cfg, [_message(3, 2, 5, 5, "c")])
+    assert jobs.late_rows(q) == 1
+    with pytest.raises(RuntimeError, match="behind its watermark"):
+        jobs.refuse_late(q)
+
+
+def test_writers_do_not_share_a_log(spark, tmp_base):
+    cfg = StreamConfig(base_path=tmp_base, message_path=f"{tmp_base}/messages", available_now=True)
+    _deliver(spark, cfg, [_message(1, 1, 0, 0, "c")])
+    for start in (jobs.start_silver, jobs.start_silver_stateful):
+        with pytest.raises(RuntimeError, match="another base_path"):
+            start(spark, cfg, EV)
+
+
+def test_state_time_is_between_arrival_and_lateness(spark):
+    cfg = StreamConfig(base_path="/x", state_lateness="2 hours")
+    hour = 3_600_000
+    df = spark.createDataFrame([(own, arrived) for own in (0, 5, 9, 10, 12) for arrived in (10, None)], "own long, arrived long")
+    df = df.select((F.col("own") * hour).alias("ts_ms"), F.timestamp_millis(F.col("arrived") * hour).alias("kafka_ingest_ts"))
+    got = {(r.ts_ms // hour, r.a): r.t // hour for r in df.select(
+        "ts_ms", F.unix_millis("kafka_ingest_ts").alias("a"), F.unix_millis(jobs.state_time(cfg)).alias("t")).collect()}
+    assert {k[0]: v for k, v in got.items() if k[1]} == {0: 8, 5: 8, 9: 9, 10: 10, 12: 10}
+    assert {k[0]: v for k, v in got.items() if k[1] is None} == {0: 0, 5: 5, 9: 9, 10: 10, 12: 12}

@@ -68,7 +68,8 @@ def test_history_has_no_window_over_the_bare_key(spark):
     from changefold.operators import history
     bronze = ingest.bronze(ingest.classify(fixtures.user_event_messages(spark, SF0001), EV))
     p = plan(history.history(bronze, EV))
-    assert "hashpartitioning(_pid" in p  # windows run per (range partition, key)
+    assert "hashpartitioning(user_id#" in p and "_bucket#" in p  # the log's window runs per (key, time bucket)
+    assert p.count("Window") and "checkpoint" not in p.lower()
 
 
 def test_each_message_is_parsed_once(spark):

@@ -1,0 +1,99 @@
+"""One raw stream for all topics, and messages that the broker delivers again."""
+
+from pyspark.sql import functions as F
+
+from changefold import specs
+from changefold.operators import ingest
+from changefold.sources import fixtures, store
+from changefold.streaming import jobs
+from changefold.streaming.config import StreamConfig
+
+from conftest import SF0001
+
+EV = specs.USER_EVENTS
+
+
+def _cfg(base, **kw):
+    return StreamConfig(base_path=base, message_path=f"{base}/messages", available_now=True, **kw)
+
+
+def _drain(q):
+    q.awaitTermination()
+    assert q.exception() is None, q.exception()
+
+
+def _rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_fanout_equals_one_query_per_topic(spark, tmp_base):
+    tables = tuple(specs.REGISTRY)
+    msgs = fixtures.all_topic_messages(spark, SF0001).unionByName(fixtures.unclaimed_messages(spark, SF0001))
+    one, each = _cfg(f"{tmp_base}/one", raw_fanout=True), _cfg(f"{tmp_base}/each")
+    for cfg in (one, each):
+        store.write_messages(msgs.drop("_batch_id"), cfg.message_path)
+    _drain(jobs.start_raw_fanout(spark, one, tables))
+    for t in tables:
+        _drain(jobs.start_raw(spark, each, specs.REGISTRY[t]))
+    for t in tables:
+        a, b = (spark.read.schema(jobs.bronze_schema(specs.REGISTRY[t])).parquet(c.bronze_path(t)).drop("_batch_id")
+                for c in (one, each))
+        assert a.count() > 0 and _rows(a) == _rows(b)
+        if store.exists(spark, each.dead_letter_path(t)):
+            a, b = (spark.read.parquet(c.dead_letter_path(t)).groupBy("dead_letter_reason").count() for c in (one, each))
+            assert _rows(a) == _rows(b)
+    lost = spark.read.parquet(one.dead_letter_path(jobs.UNKNOWN))
+    assert lost.count() == fixtures.read_table(spark, SF0001, "supplier").count()
+    assert {r.dead_letter_reason for r in lost.collect()} == {ingest.REASON_UNKNOWN_TOPIC}
+
+
+def test_unknown_topics_of_a_subset_of_tables(spark, tmp_base):
+    """A topic with a spec that this job does not run is unknown to it, too."""
+    cfg = _cfg(tmp_base, raw_fanout=True)
+    store.write_messages(fixtures.all_topic_messages(spark, SF0001).drop("_batch_id"), cfg.message_path)
+    jobs.run_all(spark, cfg, ("orders", "order_items"))
+    lost = spark.read.parquet(cfg.dead_letter_path(jobs.UNKNOWN))
+    assert {r.topic.rsplit(".", 1)[-1] for r in lost.select("topic").distinct().collect()} == {"products", "customers", "user_events"}
+    assert jobs.read_gold(spark, cfg).count() == 4005
+
+
+def test_redelivered_messages_make_one_bronze_row(spark, tmp_base):
+    cfg = _cfg(tmp_base, dedup_horizon="400 days")
+    msgs = fixtures.user_event_messages(spark, SF0001)
+    for part in ("offset < 600", "offset >= 500", "offset % 3 = 0"):
+        store.write_messages(msgs.filter(part).drop("_batch_id"), cfg.message_path)
+        _drain(jobs.start_raw(spark, cfg, EV))
+    b = spark.read.parquet(cfg.bronze_path(EV.name))
+    assert b.count() == msgs.count() == b.select("topic", "partition", "offset").distinct().count()
+    assert b.select("_batch_id").distinct().count() > 1
+
+
+def test_without_a_horizon_redelivered_messages_stay(spark, tmp_base):
+    cfg = _cfg(tmp_base)
+    msgs = fixtures.user_event_messages(spark, SF0001)
+    store.write_messages(msgs.unionByName(msgs).drop("_batch_id"), cfg.message_path)
+    _drain(jobs.start_raw(spark, cfg, EV))
+    assert spark.read.parquet(cfg.bronze_path(EV.name)).count() == 2 * msgs.count()
+
+
+def test_positions_leave_the_state_store(spark, tmp_base):
+    """Positions older than the horizon are forgotten."""
+    cfg = _cfg(tmp_base, dedup_horizon="1 hour")
+    msgs = fixtures.user_event_messages(spark, SF0001)
+    held = []
+    for k in range(4):
+        part = msgs.filter(F.col("offset").between(250 * k, 250 * k + 249))
+        store.write_messages(part.drop("_batch_id"), cfg.message_path)
+        q = jobs.start_raw(spark, cfg, EV)
+        _drain(q)
+        held.append(q.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert max(held) < 500  # of 1000 positions
+
+
+def test_broker_options():
+    cfg = StreamConfig(base_path="/x", kafka_bootstrap_servers="b:9092", fail_on_data_loss=True, kafka_min_partitions=6)
+    assert jobs.kafka_options(cfg, {"subscribe": "t"}, 500) == {
+        "kafka.bootstrap.servers": "b:9092", "subscribe": "t", "startingOffsets": "earliest", "failOnDataLoss": "true",
+        "maxOffsetsPerTrigger": "500", "minPartitions": "6"}
+    plain = jobs.kafka_options(StreamConfig(base_path="/x", kafka_bootstrap_servers="b"), {"subscribe": "t"}, 5)
+    assert plain["failOnDataLoss"] == "false" and "minPartitions" not in plain

@@ -46,20 +46,34 @@ def test_hot_key_fold_and_history_exact(spark):
     # brute-force history: next event time of the same key
     pdf["nxt"] = pdf.groupby("k").ts_ms.shift(-1)
     want_h = sorted((int(r.k), int(r.ts_ms), None if pd.isna(r.nxt) else int(r.nxt)) for r in pdf.itertuples())
-    h = history.history(bronze, EV, partitions=8).collect()
-    got_h = sorted((r.user_id, r.valid_from_ms, r.valid_to_ms) for r in h)
-    assert got_h == want_h
+    for bucket_ms in (1, 50_000, history.BUCKET_MS, 10**9):
+        h = history.history(bronze, EV, bucket_ms=bucket_ms).collect()
+        got_h = sorted((r.user_id, r.valid_from_ms, r.valid_to_ms) for r in h)
+        assert got_h == want_h
 
 
-def test_hot_key_is_split_across_range_partitions(spark):
+def test_hot_key_is_split_across_time_buckets(spark):
+    """No task of the history holds more than a bucket of the hot key; the log is shuffled once."""
+    from test_plans import plan
+
     bronze = ingest.bronze(ingest.classify(_skewed_messages(spark), EV))
     ch = fold.changes(bronze, EV)
-    sizes = (ch.repartitionByRange(8, "user_id", "_seq").withColumn("_pid", F.spark_partition_id())
-             .groupBy("_pid", "user_id").count())
-    biggest = sizes.agg(F.max("count")).first()[0]
+    bucket = F.floor(F.col("_seq.ts_ms") / history.BUCKET_MS)
+    biggest = ch.groupBy("user_id", bucket).count().agg(F.max("count")).first()[0]
     hot_total = ch.filter("user_id = 1").count()
     assert hot_total >= N // 3 - 1
-    assert biggest < hot_total / 2  # the hot key's events are spread over several tasks
+    assert biggest < hot_total / 10
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        p = plan(history.history(bronze, EV))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    shuffles = [line for line in p.splitlines() if "Arguments: hashpartitioning" in line]
+    inputs = [block for block in p.split("\n\n") if "Exchange\n" in block and "Arguments: hashpartitioning" in block]
+    assert len(shuffles) == len(inputs) == 4  # the log, bucket heads, heads by key, successors by bucket
+    assert sum("before#" in block or "after#" in block for block in inputs) == 1
+    assert "rangepartitioning" not in p
 
 
 def test_gold_join_splits_a_hot_order(spark):
