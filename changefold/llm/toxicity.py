@@ -56,23 +56,46 @@ LOOKS = {
     "w": "ԝωѡ", "x": "хχ", "y": "уγү", "z": "ᴢ2",
 }
 _MAP = {ord(c): letter for letter, looks in LOOKS.items() for c in looks}
+_HIDDEN = frozenset([0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])
+_SIGNS = frozenset(map(ord, "@$|!"))
 #: A sign stands for a letter only if a letter follows in its word; digits only in a word with a letter.
-_SIGNS = str.maketrans(dict.fromkeys("@$|!", " "))
 _SIGN = re.compile(r"[@$|!](?=[@$|!\d]*[^\W\d_])")
-_WORD = re.compile(r"[^\W_]+")
-_DIGITS = re.compile(r"(?<![^\W_])\d+(?![^\W_])")
-_HIDDEN = dict.fromkeys([0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])
+_DIGIT = re.compile(r"[0-9]")
+_LATER = {ord(c): _MAP[ord(c)] for c in "0123456789" if ord(c) in _MAP}
+_NOT_LETTERS = dict.fromkeys(_SIGNS, " ")
+
+
+class _Folding(dict):
+    """What each code point becomes, worked out when it is first met: letters fold, digits and signs wait, hidden
+    characters and marks go, all else parts words."""
+
+    def __missing__(self, code: int) -> str:
+        out = ""
+        for c in unicodedata.normalize("NFKD", chr(code)).lower() if code not in _HIDDEN else "":
+            if unicodedata.combining(c):
+                continue
+            if c in "0123456789" or ord(c) in _SIGNS:
+                out += c
+            elif ord(c) in _MAP:
+                out += _MAP[ord(c)]
+            else:
+                out += c if c.isalnum() else " "
+        self[code] = out
+        return out
+
+
+_FOLD = _Folding()
 
 
 def fold(text: str) -> list[str]:
     """The folded words of a text."""
-    if not text.isascii():
-        text = unicodedata.normalize("NFKD", text.translate(_HIDDEN))
-        text = "".join(c for c in text if not unicodedata.combining(c)) if not text.isascii() else text
-    text = text.lower()
+    text = text.translate(_FOLD)
     if "@" in text or "$" in text or "|" in text or "!" in text:
-        text = _SIGN.sub(lambda m: _MAP[ord(m[0])], text).translate(_SIGNS)
-    return _WORD.findall(_DIGITS.sub(" ", text).translate(_MAP))
+        text = _SIGN.sub(lambda m: _MAP[ord(m[0])], text).translate(_NOT_LETTERS)
+    words = text.split()
+    if _DIGIT.search(text):
+        words = " ".join([w for w in words if not w.isdigit()]).translate(_LATER).split()
+    return words
 
 
 def entries(words: set[str]) -> Iterator[str]:
