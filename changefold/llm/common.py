@@ -80,12 +80,13 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def forget(table: DataFrame) -> None:
-    """Deletes the files of a `saved` table that nothing reads any more."""
-    jvm, conf = table.sparkSession.sparkContext._jvm, table.sparkSession._jsparkSession.sessionState().newHadoopConf()
-    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+def forget(*tables: DataFrame) -> None:
+    """Deletes the files of `saved` tables that nothing reads any more."""
+    for table in tables:
+        jvm, conf = table.sparkSession.sparkContext._jvm, table.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def share(column: Column | str, rows: int, bound: int) -> Column:
@@ -116,6 +117,16 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def mix(x: np.ndarray, room: np.ndarray) -> None:
+    """`mixed` in place, with room for as many numbers."""
+    for _ in range(2):
+        np.right_shift(x, np.uint64(32), out=room)
+        np.bitwise_xor(x, room, out=x)
+        np.multiply(x, np.uint64(0xD6E8FEB86659FD93), out=x)
+    np.right_shift(x, np.uint64(32), out=room)
+    np.bitwise_xor(x, room, out=x)
+
+
 _BASE = 0x9E3779B97F4A7C15
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 

@@ -7,9 +7,10 @@
    similarity.  Texts that agree in all rows of a band meet in a bucket (27 bands of 5: a pair at 0.8 misses all of
    them twice in 100,000; texts that share a third of their weight meet in a band four times in 1000).
 3. Equal texts are one representative from here on.  In each bucket the member that meets most others, over all its
-   bands, is the pivot; the others are verified against it by exact weighted Jaccard similarity on whole texts.
-4. Buckets that still hold more than one component are searched whole, in tiles of about TILE_BYTES: a pair at the
-   similarity shares a shingle among each one's rarest ones (the prefix that holds more weight than such a pair may
+   bands, is the pivot.  Pairs that agree in fewer than AGREEING of all samples are far from the similarity and go; the
+   others are verified by exact weighted Jaccard similarity on whole texts.
+4. Buckets that still hold more than one component are searched whole, in tiles of about TILE_BYTES.  First the samples
+   tell which members agree with one of another component; of those alone the texts are read: a pair at the similarity shares a shingle among each one's rarest ones (the prefix that holds more weight than such a pair may
    differ in), so only texts with such a shingle in common are verified.  Nothing is lost by that, and a text whose
    edits make up more than that weight meets nobody, however many copies of the original there are.
 5. Verified links are joined to classes by their smallest member, over saved tables.
@@ -24,6 +25,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +38,11 @@ SIMILARITY = 0.8
 TILE_BYTES = 2 << 20
 #: Steps of the stored document frequency for each doubling.
 STEPS = 4
+#: Pairs that agree in fewer of their samples are not compared: at the similarity 108 of 135 are expected, and fewer
+#: than these happen twice in a thousand million pairs.
+AGREEING = 81
+#: Shingles whose samples are drawn at once.
+CACHED = 1 << 16
 
 
 def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -80,36 +87,68 @@ def idf(codes: np.ndarray, docs: int) -> np.ndarray:
 _GAMMA = None
 
 
-def _gamma() -> np.ndarray:
-    """Quantiles of the Gamma(2, 1) distribution at 65,536 places."""
+def _gamma() -> tuple[np.ndarray, np.ndarray]:
+    """Quantiles of the Gamma(2, 1) distribution at 65,536 places, and their logarithms."""
     global _GAMMA
     if _GAMMA is None:
         x = np.concatenate([np.linspace(0, 2, 200_000), np.linspace(2, 40, 400_000)[1:]])
-        _GAMMA = np.interp((np.arange(1 << 16) + 0.5) / (1 << 16), 1 - np.exp(-x) * (1 + x), x).astype(np.float32)
+        g = np.interp((np.arange(1 << 16) + 0.5) / (1 << 16), 1 - np.exp(-x) * (1 + x), x).astype(np.float32)
+        _GAMMA = g, np.log(g)
     return _GAMMA
 
 
-def bands(h: np.ndarray, weight: np.ndarray, count: np.ndarray, n_bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """ICWS: one hash for each text (with shingles) and band."""
-    gamma = _gamma()
-    log_gamma = np.log(gamma)
-    starts = (np.cumsum(count) - count)[count > 0]
-    own = np.repeat(np.arange(len(starts)), count[count > 0])
-    log_w = np.log(weight).astype(np.float32)
-    out = np.zeros((len(starts), n_bands), np.uint64)
-    low = np.uint64(0xFFFF)
-    for k in range(n_bands * rows):
-        x = common.mixed(h + np.uint64((k + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1)))
-        r = gamma[(x & low).astype(np.int64)]
-        log_c = log_gamma[((x >> np.uint64(16)) & low).astype(np.int64)]
-        beta = ((x >> np.uint64(32)) & low).astype(np.float32) / np.float32(1 << 16)
-        t = np.floor(log_w / r + beta)
-        log_a = log_c - r * (t - beta) - r
-        least = np.minimum.reduceat(log_a, starts)
-        sample = common.mixed(h ^ (t.astype(np.int64).view(np.uint64) << np.uint64(40)) ^ np.uint64(k))
-        sample[log_a != least[own]] = np.uint64(2**64 - 1)
-        out[:, k // rows] = common.mixed(out[:, k // rows] * np.uint64(31) + np.minimum.reduceat(sample, starts) + np.uint64(k))
-    return out
+def bands(h: np.ndarray, weight: np.ndarray, count: np.ndarray, n_bands: int = BANDS, rows: int = ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """ICWS: of each text (with shingles) one hash for each band, and the low byte of each sample."""
+    count = count[count > 0]
+    out = np.zeros((len(count), n_bands), np.uint64)
+    low = np.zeros((len(count), n_bands * rows), np.uint8)
+    ends = np.cumsum(count)
+    first = 0
+    while first < len(count):  # runs of texts whose arrays stay in the processor's cache; a longer text is a run of its own
+        begin = ends[first] - count[first]
+        last = max(first + 1, int(np.searchsorted(ends, begin + CACHED, side="right")))
+        at = slice(begin, ends[last - 1])
+        _icws(h[at], np.log(weight[at]).astype(np.float32), count[first:last], out[first:last], low[first:last], rows)
+        first = last
+    return out, low
+
+
+def _icws(h: np.ndarray, log_w: np.ndarray, count: np.ndarray, out: np.ndarray, low: np.ndarray, rows: int) -> None:
+    gamma, log_gamma = _gamma()
+    n = len(h)
+    starts = np.cumsum(count) - count
+    x, y = np.empty(n, np.uint64), np.empty(n, np.uint64)
+    own = np.repeat(np.arange(len(count)), count)
+    r, log_c, beta, t = (np.empty(n, np.float32) for _ in range(4))
+    best = np.empty(n, bool)
+    least = np.empty(len(count), np.float32)
+    sixteen = np.uint64(0xFFFF)
+    for k in range(low.shape[1]):
+        np.add(h, np.uint64((k + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1)), out=x)
+        common.mix(x, y)
+        np.bitwise_and(x, sixteen, out=y)
+        np.take(gamma, y.view(np.int64), out=r, mode="clip")
+        np.right_shift(x, np.uint64(16), out=y)
+        np.bitwise_and(y, sixteen, out=y)
+        np.take(log_gamma, y.view(np.int64), out=log_c, mode="clip")
+        np.right_shift(x, np.uint64(32), out=y)
+        np.bitwise_and(y, sixteen, out=y)
+        np.multiply(y, np.float32(1 / (1 << 16)), out=beta, casting="unsafe")
+        np.divide(log_w, r, out=t)
+        np.add(t, beta, out=t)
+        np.floor(t, out=t)
+        np.subtract(t, beta, out=beta)
+        np.multiply(r, beta, out=beta)
+        np.subtract(log_c, beta, out=log_c)
+        np.subtract(log_c, r, out=log_c)
+        np.minimum.reduceat(log_c, starts, out=least)
+        np.take(least, own, out=beta, mode="clip")
+        np.equal(log_c, beta, out=best)
+        at = np.flatnonzero(best)  # one shingle of each text, more only in a tie
+        chosen = common.mixed(h[at] ^ (t[at].astype(np.int64).view(np.uint64) << np.uint64(40)) ^ np.uint64(k))
+        sample = chosen if len(at) == len(count) else np.minimum.reduceat(chosen, np.searchsorted(at, starts))
+        low[:, k] = sample & np.uint64(0xFF)
+        out[:, k // rows] = common.mixed(out[:, k // rows] * np.uint64(31) + sample + np.uint64(k))
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -120,29 +159,51 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def sketches(rows: DataFrame, docs: int) -> DataFrame:
-    """Of each row of a numbered table its bands and the codes of its shingles' frequencies, besides id and text."""
+    """Of each row of a numbered table its bands, its samples and the codes of its shingles' frequencies."""
     spark = rows.sparkSession
     n = exchange.buckets(spark)
     asked = exchange.ask(rows, lambda part: shingles(part.column("text"))[0], n, 4)
     answers = exchange.answer(asked, _frequency_codes, 4)
 
+    def binary(ends: np.ndarray, data: np.ndarray) -> pa.Array:
+        return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+
     def sketch(part, replies):
         h, tf, count = shingles(part.column("text"))
         codes = exchange.returned(h, replies, n)
-        found = np.zeros((part.num_rows, BANDS), np.uint64)
-        if len(h):
-            found[count > 0] = bands(h, tf * idf(codes, docs), count)
-        ends = np.concatenate([[0], np.cumsum(count)])
-        band = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum((count > 0) * BANDS)]).astype(np.int32)), pa.array(found[count > 0].ravel().view(np.int64)))
-        code = pa.Array.from_buffers(pa.binary(), len(count), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(codes)])
-        return {**{c: part.column(c) for c in ("rid", "doc_id", "key", "text")}, "bands": band, "codes": code}
+        found, low = bands(h, tf * idf(codes, docs), count) if len(h) else (np.zeros((0, BANDS), np.uint64), np.zeros((0, BANDS * ROWS), np.uint8))
+        each = np.concatenate([[0], np.cumsum(count > 0)])
+        band = pa.ListArray.from_arrays(pa.array((each * BANDS).astype(np.int32)), pa.array(found.ravel().view(np.int64)))
+        size = pc.binary_length(part.column("text").cast(pa.large_binary()))
+        return {**{c: part.column(c) for c in ("rid", "doc_id", "key")}, "size": size, "bands": band, "samples": binary(each * BANDS * ROWS, low), "codes": binary(np.concatenate([[0], np.cumsum(count)]), codes)}
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return exchange.together(rows, answers, sketch, f"rid long, doc_id {kind}, key binary, text string, bands array<long>, codes binary")
+    return exchange.together(rows, answers, sketch, f"rid long, doc_id {kind}, key binary, size long, bands array<long>, samples binary, codes binary")
+
+
+def _samples(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
+
 
+def promising(pairs: DataFrame, made: DataFrame) -> DataFrame:
+    """The pairs (rid, pivot) that agree in enough samples to be worth comparing."""
 
-def verified(pairs: DataFrame, candidates: DataFrame, docs: int, least: float = SIMILARITY) -> DataFrame:
-    """Pairs (rid, pivot) with whether they are similar, from the whole texts of both."""
+    def agree(part):
+        enough = pa.array((_samples(part.column("a")) == _samples(part.column("b"))).sum(1) >= AGREEING)
+        return {"rid": part.column("rid").filter(enough), "pivot": part.column("pivot").filter(enough)}
+
+    a = made.select("rid", F.col("samples").alias("a"))
+    b = made.select(F.col("rid").alias("pivot"), F.col("samples").alias("b"))
+    return common.map_slices(pairs.join(a, "rid").join(b, "pivot").select("rid", "pivot", "a", "b"), agree, "rid long, pivot long", "a")
+
+
+def whole(rids: DataFrame, rows: DataFrame, made: DataFrame) -> DataFrame:
+    """rid, text and codes of the named rows: only their texts are dealt out."""
+    return rows.select("rid", "text").join(rids, "rid", "left_semi").join(made.select("rid", "codes").join(rids, "rid", "left_semi"), "rid")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, docs: int, least: float = SIMILARITY) -> DataFrame:
+    """Pairs (rid, pivot) with whether they are similar, from the whole texts of both (texts: rid, text, codes)."""
 
     def compare(part):
         out = []
@@ -156,26 +217,34 @@ def verified(pairs: DataFrame, candidates: DataFrame, docs: int, least: float =
             out.append(similarity(a, b) >= least)
         return {"rid": part.column("rid"), "pivot": part.column("pivot"), "near": out}
 
-    # Only the texts of the pairs are dealt out, not all candidates.
-    asked = candidates.join(pairs.select("rid").distinct(), "rid", "left_semi")
-    a = asked.select("rid", F.col("text").alias("a_text"), F.col("codes").alias("a_codes"))
-    answers = candidates.withColumnRenamed("rid", "pivot").join(pairs.select("pivot").distinct(), "pivot", "left_semi")
-    b = answers.select("pivot", F.col("text").alias("b_text"), F.col("codes").alias("b_codes"))
+    a = texts.select("rid", F.col("text").alias("a_text"), F.col("codes").alias("a_codes"))
+    b = texts.select(F.col("rid").alias("pivot"), F.col("text").alias("b_text"), F.col("codes").alias("b_codes"))
     both = pairs.join(a, "rid").join(b, "pivot").select("rid", "pivot", "a_text", "a_codes", "b_text", "b_codes")
     return common.map_slices(both, compare, "rid long, pivot long, near boolean", "a_text")
 
 
-def links(members: DataFrame, candidates: DataFrame, docs: int, least: float = SIMILARITY) -> DataFrame:
+def links(members: DataFrame, rows: DataFrame, made: DataFrame, docs: int, least: float = SIMILARITY) -> DataFrame:
     """node and root of the texts joined by verified links within buckets (members: bucket, rid, mates, size)."""
     pivots = members.groupBy("bucket").agg(F.min(F.struct(-F.col("mates"), F.col("rid").alias("pivot"))).alias("best")).select("bucket", "best.pivot")
     tested = members.join(pivots, "bucket").filter("rid != pivot").select(F.greatest("rid", "pivot").alias("rid"), F.least("rid", "pivot").alias("pivot")).distinct()
-    tested = common.saved(tested, "near-dup-tested")
-    near = common.saved(verified(tested, candidates, docs, least).filter("near").select("rid", "pivot"), "near-dup-links")
+    tested = common.saved(promising(tested, made), "near-dup-tested")
+    named = tested.select("rid").unionAll(tested.select("pivot")).distinct()
+    texts = common.saved(whole(named, rows, made), "near-dup-texts")
+    near = common.saved(verified(tested, texts, docs, least).filter("near").select("rid", "pivot"), "near-dup-links")
+    common.forget(tested, texts)
     roots = components(near)
+    common.forget(near)
     exchange.release(members.sparkSession)
-    found = common.saved(searched(_apart(members, roots), candidates, docs, least), "near-dup-links")
+    hopeful = common.saved(_hopeful(_apart(members, roots), made), "near-dup-apart")
+    found = common.saved(searched(hopeful, rows, made, docs, least), "near-dup-links")
+    common.forget(hopeful)
+    if found.isEmpty():
+        common.forget(found)
+        return roots
     # The components so far are stars: with the new links they stand for all links.
-    return components(found.unionAll(roots)) if not found.isEmpty() else roots
+    out = components(found.unionAll(roots))
+    common.forget(found, roots)
+    return out
 
 
 def _apart(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -189,6 +258,35 @@ def _apart(members: DataFrame, roots: DataFrame) -> DataFrame:
     return tiled.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "rid", "root")
 
 
+def agreeing(samples: np.ndarray, root: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """Which texts agree in enough samples with one of another root (of two blocks: with one of the other block)."""
+    out = np.zeros(len(root), bool)
+    two = block.min() != block.max()
+    names, own, often = np.unique(root, return_inverse=True, return_counts=True)
+    for x in np.flatnonzero(own != often.argmax()):  # the largest component meets the others from their side
+        other = own != own[x]
+        if two:
+            other &= block != block[x]
+        at = np.flatnonzero(other)
+        hits = at[(samples[at] == samples[x]).sum(1) >= AGREEING]
+        if len(hits):
+            out[x] = True
+            out[hits] = True
+    return out
+
+
+def _hopeful(tiles: DataFrame, made: DataFrame) -> DataFrame:
+    """The rows of each tile that agree with one of another component: only their texts are read."""
+    columns = ("bucket", "low", "high", "block", "rid", "root")
+
+    def tile(table: pa.Table) -> pa.Table:
+        keep = agreeing(_samples(table.column("samples").combine_chunks()), table.column("root").to_numpy(), table.column("block").to_numpy())
+        return table.select(columns).filter(pa.array(keep))
+
+    with_samples = tiles.join(made.select("rid", "samples"), "rid")
+    return with_samples.groupBy("bucket", "low", "high").applyInArrow(tile, ", ".join(f"{c} long" for c in columns))
+
+
 def close(h: np.ndarray, weight: np.ndarray, count: np.ndarray, root: np.ndarray, block: np.ndarray, least: float) -> list[tuple[int, int]]:
     """Places of texts (none without shingles) that are similar: enough pairs to join the roots of all that are.  Of two blocks only pairs
     between them are looked at."""
@@ -229,7 +327,7 @@ def close(h: np.ndarray, weight: np.ndarray, count: np.ndarray, root: np.ndarray
     return found
 
 
-def searched(tiles: DataFrame, candidates: DataFrame, docs: int, least: float = SIMILARITY) -> DataFrame:
+def searched(tiles: DataFrame, rows: DataFrame, made: DataFrame, docs: int, least: float = SIMILARITY) -> DataFrame:
     """Links (rid, pivot) between the components of each tile, from whole texts."""
 
     def tile(table: pa.Table) -> pa.Table:
@@ -240,8 +338,8 @@ def searched(tiles: DataFrame, candidates: DataFrame, docs: int, least: float =
         found = np.array(close(h, weight, count, root, block, least), np.int64).reshape(-1, 2)
         return pa.table({"rid": rid[found[:, 0]], "pivot": rid[found[:, 1]]})
 
-    whole = tiles.join(candidates.select("rid", "text", "codes"), "rid")
-    return whole.groupBy("bucket", "low", "high").applyInArrow(tile, "rid long, pivot long").distinct()
+    texts = whole(tiles.select("rid").distinct(), rows, made)
+    return tiles.join(texts, "rid").groupBy("bucket", "low", "high").applyInArrow(tile, "rid long, pivot long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -255,7 +353,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = around.join(least, "u").filter("v > u AND v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = common.saved(small.unionAll(low.select("u", F.col("m").alias("v"))).distinct(), "components")
+        before, now = now, common.saved(small.unionAll(low.select("u", F.col("m").alias("v"))).distinct(), "components")
+        common.forget(before)
     return now.toDF("node", "root")
 
 
@@ -268,41 +367,41 @@ def _stars(edges: DataFrame) -> bool:
 def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
     """rid, doc_id, class_id and whether the row is its class's first, for every row of `df`."""
     rows = exchange.numbered(df.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")), "near-dup-rows")
-    made = _sketched(rows)
-    common.forget(rows)  # what follows reads the sketches, which hold the texts
-    return _classes(made, least)
-
-
-def _sketched(rows: DataFrame) -> DataFrame:
-    """The saved sketches of a numbered table (rid, block, doc_id, text)."""
-    made = common.saved(sketches(rows.withColumn("key", F.unhex(F.md5("text"))), rows.count()), "near-dup-sketches")
-    exchange.release(rows.sparkSession)
-    return made
+    out = _classes(rows, least)
+    common.forget(rows)
+    return out
 
 
-def _classes(made: DataFrame, least: float) -> DataFrame:
-    spark, docs = made.sparkSession, made.count()
-    copies = common.saved(made.groupBy("key").agg(F.min("rid").alias("rep"), F.min("doc_id").alias("least"), F.min_by("bands", "rid").alias("bands"), F.max(F.octet_length("text")).alias("size")), "near-dup-copies")
+def _classes(rows: DataFrame, least: float) -> DataFrame:
+    """The saved classes of a numbered table (rid, block, doc_id, text).  Texts are kept there alone; all else that is
+    saved on the way goes when it has been read."""
+    spark, docs = rows.sparkSession, rows.count()
+    made = common.saved(sketches(rows.withColumn("key", F.unhex(F.md5("text"))), docs), "near-dup-sketches")
+    exchange.release(spark)
+    copies = common.saved(made.groupBy("key").agg(F.min("rid").alias("rep"), F.min("doc_id").alias("least"), F.min_by("bands", "rid").alias("bands"), F.max("size").alias("size")), "near-dup-copies")
     # A band's number is in its hash, so the hash alone names the bucket.
     spread = copies.select(F.col("rep").alias("rid"), "size", F.explode("bands").alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     mates = F.sum("n").over(Window.partitionBy("rid"))
     members = common.saved(spread.join(shared, "bucket").withColumn("mates", mates).drop("n"), "near-dup-buckets")
-    candidates = common.saved(made.select("rid", "text", "codes").join(members.select("rid").distinct(), "rid", "left_semi"), "near-dup-candidates")
     exchange.release(spark)
-    roots = links(members, candidates, docs, least)
+    roots = links(members, rows, made, docs, least)
+    common.forget(members)
     joined = copies.select("key", "rep", "least").join(roots, F.col("rep") == F.col("node"), "left").select("key", "rep", "least", F.coalesce("root", "rep").alias("root"))
     named = joined.groupBy("root").agg(F.min("least").alias("class_id"))
     by_key = joined.join(named, "root").select("key", "root", "class_id")
-    return made.select("rid", "doc_id", "key").join(by_key, "key").select("rid", "doc_id", "class_id", (F.col("rid") == F.col("root")).alias("first"))
+    out = common.saved(made.select("rid", "doc_id", "key").join(by_key, "key").select("rid", "doc_id", "class_id", (F.col("rid") == F.col("root")).alias("first")), "near-dup-classes")
+    common.forget(made, copies, roots)
+    exchange.release(spark)
+    return out
 
 
 def distinct(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """`df` with one row of each class."""
-    rows = exchange.numbered(df, "near-dup-rows")
-    made = _sketched(rows.select("rid", "block", F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")))
-    first = _classes(made, SIMILARITY).filter("first").select("rid")
-    return rows.join(first, "rid", "left_semi").select(*df.columns)
+    """`df` with one row of each class.  Its columns travel inside one, so their names cannot clash with those made here."""
+    kept = exchange.numbered(df.select(F.struct("*").alias("_row")), "near-dup-rows")
+    own = kept.select("rid", "block", F.col("_row").getField(doc_id).alias("doc_id"), F.coalesce(F.col("_row").getField(text).cast("string"), F.lit("")).alias("text"))
+    first = _classes(own, SIMILARITY).filter("first").select("rid")
+    return kept.join(first, "rid", "left_semi").select("_row.*")
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,6 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Row
 
 from changefold.llm import near_dup as nd
 from changefold.session import fresh_dir
@@ -63,13 +62,17 @@ def brute(values):
 def test_classes(spark):
     values = texts()
     path = fresh_dir(spark, "near")
-    spark.createDataFrame([Row(doc_id=i, text=t, rid="clash", key=1) for i, t in enumerate(values)], "doc_id long, text string, rid string, key int").write.parquet(path)
+    names = ["rid", "block", "key", "bands", "samples", "codes", "size", "bucket", "_row", "root", "node", "pivot", "first"]
+    schema = "doc_id long, text string, " + ", ".join(f"{n} string" for n in names)
+    spark.createDataFrame([(i, t, *[f"{n} {i}" for n in names]) for i, t in enumerate(values)], schema).write.parquet(path)
     df = spark.read.parquet(path)
     got = {r.doc_id: r for r in nd.classes(df).collect()}
     assert [got[i].class_id for i in range(len(values))] == brute(values)
     assert sum(r.first for r in got.values()) == len(set(brute(values)))
-    kept = nd.distinct(df.drop("rid"))
-    assert kept.count() == len(set(brute(values))) and kept.columns == ["doc_id", "text", "key"]
+    # Columns named like those made inside come back as they were.
+    kept = nd.distinct(df)
+    assert kept.schema == df.schema and kept.count() == len(set(brute(values)))
+    assert all(r[n] == f"{n} {r.doc_id}" for r in kept.collect() for n in names)
 
 
 def test_classes_when_scans_split_anew(spark, monkeypatch):
@@ -150,7 +153,7 @@ def test_bands_follow_weighted_jaccard():
     r = np.random.default_rng(1)
     h = np.sort(r.integers(0, 2**63, 400).astype(np.uint64))
     a, b = r.random(400) + 1, r.random(400) + 1
-    agree = np.mean([(nd.bands(h + np.uint64(k), a, np.array([400]), 16, 1) == nd.bands(h + np.uint64(k), b, np.array([400]), 16, 1)).mean() for k in range(60)])
+    agree = np.mean([(nd.bands(h + np.uint64(k), a, np.array([400]), 16, 1)[0] == nd.bands(h + np.uint64(k), b, np.array([400]), 16, 1)[0]).mean() for k in range(60)])
     assert abs(agree - np.minimum(a, b).sum() / np.maximum(a, b).sum()) < 0.04
 
 
@@ -158,3 +161,45 @@ def test_shingles_of_whole_texts():
     column = pa.array(["a b c d e f", "", "x", "a b c d e a b c d e", "é\tü\nö ä ß"])
     h, n, count = nd.shingles(column)
     assert count.tolist() == [2, 0, 1, 5, 1] and n.sum() == 2 + 1 + 6 + 1
+
+
+def test_runs_of_texts_do_not_change_samples(monkeypatch):
+    r = np.random.default_rng(2)
+    count = r.integers(0, 60, 80)
+    h, weight = r.integers(0, 2**63, count.sum()).astype(np.uint64), r.random(count.sum()) + 1
+    whole = nd.bands(h, weight, count)
+    monkeypatch.setattr(nd, "CACHED", 50)
+    assert all((a == b).all() for a, b in zip(whole, nd.bands(h, weight, count), strict=True))
+    # Bands are made of the samples: texts that agree in all samples of a band share it.
+    twice = nd.bands(np.concatenate([h, h]), np.concatenate([weight, weight]), np.concatenate([count, count]))
+    n = (count > 0).sum()
+    assert all((x[:n] == x[n:]).all() for x in twice)
+
+
+def test_agreement_estimates_similarity():
+    """Texts at the similarity agree in enough samples, with room to spare."""
+    r = np.random.default_rng(7)
+    least = []
+    for k in range(40):
+        h = np.sort(r.integers(0, 2**63, 300).astype(np.uint64))
+        edited = h.copy()
+        at = r.choice(300, 33, replace=False)  # 267 of 333 shingles in common: 0.80
+        edited[at] = r.integers(0, 2**63, 33).astype(np.uint64)
+        edited = np.sort(edited)
+        w = np.ones(300)
+        (_, a), (_, b) = nd.bands(h, w, np.array([300])), nd.bands(edited, w, np.array([300]))
+        least.append((a == b).sum())
+    assert min(least) > nd.AGREEING and abs(np.mean(least) - 108) < 3
+
+
+def test_agreeing_members_of_other_components():
+    r = np.random.default_rng(3)
+    base = r.integers(0, 256, (6, 135)).astype(np.uint8)
+    samples = np.concatenate([base, base, base])
+    for x in samples[6:]:
+        at = r.choice(135, r.integers(20, 90), replace=False)
+        x[at] = r.integers(0, 256, len(at))
+    root = np.array([0, 1, 2, 3, 4, 5, 0, 1, 2, 9, 9, 9, 0, 0, 0, 9, 9, 10])
+    for block in (np.zeros(18, np.int64), np.arange(18) // 6 % 2):
+        want = [any((samples[x] == samples[y]).sum() >= nd.AGREEING and root[x] != root[y] and (not block.any() or block[x] != block[y]) for y in range(18)) for x in range(18)]
+        assert nd.agreeing(samples, root, block).tolist() == want and any(want) and not all(want)
