@@ -89,6 +89,15 @@ def forget(*tables: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+#: What is broadcast has at most so many bytes, counted first.
+BROADCAST_BYTES = 32 << 20
+
+
+def broadcast_if_small(df: DataFrame, row_bytes: int) -> DataFrame:
+    """`df` marked for broadcast if its rows of so many bytes are few enough; else Spark picks the join."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
 def share(column: Column | str, rows: int, bound: int) -> Column:
     """True for about `bound` of `rows` rows, chosen by a hash of the column: a bounded sample that any retry repeats."""
     if rows <= bound:
@@ -117,16 +126,6 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def mix(x: np.ndarray, room: np.ndarray) -> None:
-    """`mixed` in place, with room for as many numbers."""
-    for _ in range(2):
-        np.right_shift(x, np.uint64(32), out=room)
-        np.bitwise_xor(x, room, out=x)
-        np.multiply(x, np.uint64(0xD6E8FEB86659FD93), out=x)
-    np.right_shift(x, np.uint64(32), out=room)
-    np.bitwise_xor(x, room, out=x)
-
-
 _BASE = 0x9E3779B97F4A7C15
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 

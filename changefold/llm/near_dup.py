@@ -39,8 +39,8 @@ TILE_BYTES = 2 << 20
 #: Steps of the stored document frequency for each doubling.
 STEPS = 4
 #: Pairs that agree in fewer of their samples are not compared: at the similarity 108 of 135 are expected, and fewer
-#: than these happen twice in a thousand million pairs.
-AGREEING = 81
+#: than these happen three times in a million pairs, seldom beside the bands' 20.
+AGREEING = 87
 #: Shingles whose samples are drawn at once.
 CACHED = 1 << 16
 
@@ -123,15 +123,16 @@ def _icws(h: np.ndarray, log_w: np.ndarray, count: np.ndarray, out: np.ndarray,
     best = np.empty(n, bool)
     least = np.empty(len(count), np.float32)
     sixteen = np.uint64(0xFFFF)
+    # The hashes are mixed already, so an odd factor for each sample spreads them anew; the upper bits are used.
+    factor = common.mixed(np.arange(1, low.shape[1] + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
     for k in range(low.shape[1]):
-        np.add(h, np.uint64((k + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1)), out=x)
-        common.mix(x, y)
-        np.bitwise_and(x, sixteen, out=y)
+        np.multiply(h, factor[k], out=x)
+        np.right_shift(x, np.uint64(48), out=y)
         np.take(gamma, y.view(np.int64), out=r, mode="clip")
-        np.right_shift(x, np.uint64(16), out=y)
+        np.right_shift(x, np.uint64(32), out=y)
         np.bitwise_and(y, sixteen, out=y)
         np.take(log_gamma, y.view(np.int64), out=log_c, mode="clip")
-        np.right_shift(x, np.uint64(32), out=y)
+        np.right_shift(x, np.uint64(16), out=y)
         np.bitwise_and(y, sixteen, out=y)
         np.multiply(y, np.float32(1 / (1 << 16)), out=beta, casting="unsafe")
         np.divide(log_w, r, out=t)
@@ -198,7 +199,8 @@ def promising(pairs: DataFrame, made: DataFrame) -> DataFrame:
 
 
 def whole(rids: DataFrame, rows: DataFrame, made: DataFrame) -> DataFrame:
-    """rid, text and codes of the named rows: only their texts are dealt out."""
+    """rid, text and codes of the named rows (a column of a saved table): only their texts are dealt out."""
+    rids = common.broadcast_if_small(rids, 16)
     return rows.select("rid", "text").join(rids, "rid", "left_semi").join(made.select("rid", "codes").join(rids, "rid", "left_semi"), "rid")
 
 
