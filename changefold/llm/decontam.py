@@ -6,8 +6,8 @@ holds an exact piece.  All pieces of all items are found in one pass over each w
 places where a piece puts its item, Myers' bit-parallel algorithm gives the least edit distance.
 
 Items are a stated query set.  They reach the tasks in blocks of at most BLOCK_CHARS characters, one job part for each
-block, whatever their number.  Items with fewer than LEAST_CHARS characters after normalising are not matched (they
-occur everywhere); null items and null texts match nothing.  Repeated documents give repeated rows, repeated item_ids
+block, whatever their number.  Items with fewer than LEAST_CHARS characters after normalising lie within many longer
+words: they are met without edits and as whole words only.  Items without a word, null items and null texts match nothing.  Repeated documents give repeated rows, repeated item_ids
 are items of their own, empty tables give no rows.
 """
 
@@ -65,7 +65,8 @@ class Matcher:
     def __init__(self, items: list[tuple[object, str]], rate: float = ERROR_RATE, least: int = LEAST_CHARS):
         import ahocorasick
 
-        self.items = [(i, t, int(rate * len(t))) for i, t in ((i, normal(t or "")) for i, t in items) if len(t) >= least]
+        known = [(i, normal(t or "")) for i, t in items]
+        self.items = [(i, t, int(rate * len(t)) if len(t) >= least else 0) for i, t in known if t]
         self.masks: list[dict[str, int]] = []
         places: dict[str, list[tuple[int, int]]] = {}
         for number, (_, text, errors) in enumerate(self.items):
@@ -73,6 +74,9 @@ class Matcher:
             for j, c in enumerate(text):
                 mask[c] = mask.get(c, 0) | 1 << j
             self.masks.append(mask)
+            if len(text) < least:  # with a blank on either side, as a whole
+                places.setdefault(f" {text} ", []).append((number, None))
+                continue
             for at, piece in pieces(text, errors):
                 places.setdefault(piece, []).append((number, at))
         self.finder = ahocorasick.Automaton()
@@ -87,10 +91,14 @@ class Matcher:
             return []
         text = normal(text)
         begins: dict[int, set[int]] = {}
-        for last, (size, where) in self.finder.iter(text):
+        whole: dict[int, int] = {}
+        for last, (size, where) in self.finder.iter(f" {text} "):
             for number, at in where:
-                begins.setdefault(number, set()).add(last + 1 - size - at)
-        out = []
+                if at is None:
+                    whole.setdefault(number, last - 1)
+                else:
+                    begins.setdefault(number, set()).add(last - size - at)
+        out = [(self.items[number][0], 0, 0, end) for number, end in sorted(whole.items())]
         for number, starts in sorted(begins.items()):
             item, body, errors = self.items[number]
             best = (errors + 1, 0)
