@@ -2,6 +2,11 @@
 
 Each stage is (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame.  A stage's rows are
 written as Parquet and read again as the next one's docs; all but the last return the columns of documents.
+
+Null and empty texts have no language that could be rejected and are one class of copies, of which one stays.  Null ids
+and repeated rows are rows like others until the near-duplicate stage, which keeps one of each class; of equal
+candidates the first row stays.  Long texts are read whole.  Other columns pass through every stage but the last, whatever
+their names.  An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -49,9 +54,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.table(spark, sf_dir, "documents")
+    docs, before = common.table(spark, sf_dir, "documents"), None
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = common.saved(docs, f"pipeline-{name}")
+            if before is not None:
+                common.forget(before)
+            before = docs
     return docs
