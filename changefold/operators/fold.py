@@ -7,7 +7,8 @@ aggregate of the key's events under the total order
 =====================  ==================================================
 state column           aggregate over the key's events
 =====================  ==================================================
-``_up_img``            row image of the last upsert (``max`` of struct(seq, image))
+``_up_img``            row image of the last upsert (``max`` of struct(seq, image)),
+                       narrowed to what silver columns are made of
 ``_up_seq``            seq of the last upsert
 ``_first_created``     ``created_at`` of the first upsert (``min`` of struct(seq, created_at))
 ``_first_seq``         seq of the first upsert
@@ -48,27 +49,31 @@ def sequence(bronze_df: DataFrame) -> Column:
 
 
 def changes(bronze_df: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Bronze -> (key, op, seq, before, after[, _batch_id][, kept columns])."""
+    """Bronze -> (key, op, seq, before, after, _image, _created[, _batch_id][, kept columns]).
+
+    ``_image`` and ``_created`` are what a state takes of ``after``; named here, next to the scan, so that the other
+    fields are not read."""
     key = F.when(F.col("op") == specs.DELETE_OP, F.col("before")[spec.key]) \
         .otherwise(F.col("after")[spec.key])
     extra = ["_batch_id"] if "_batch_id" in bronze_df.columns else []
+    image = F.struct(*[F.col("after")[f].alias(f) for f in spec.image_schema.fieldNames()])
+    created = F.col("after.created_at") if spec.has_field("created_at") else F.col("ts_ms")
     return bronze_df.select(key.alias(spec.key), "op", sequence(bronze_df).alias("_seq"),
-                            "before", "after", *extra, *keep)
+                            "before", "after", image.alias("_image"), created.alias("_created"), *extra, *keep)
 
 
 def event_states(changes_df: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()) -> DataFrame:
     """Each change event as a one-event state (``keep``: extra grouping columns)."""
     up = F.col("op").isin(*specs.UPSERT_OPS)
-    created = F.col("after.created_at") if spec.has_field("created_at") else F.col("_seq.ts_ms")
     return changes_df.select(
         *keep, spec.key,
-        F.when(up, F.col("after")).alias("_up_img"),
+        F.when(up, F.col("_image")).alias("_up_img"),
         F.when(up, F.col("_seq")).alias("_up_seq"),
-        F.when(up, created).alias("_first_created"),
+        F.when(up, F.col("_created")).alias("_first_created"),
         F.when(up, F.col("_seq")).alias("_first_seq"),
         F.col("op").alias("_last_op"),
         F.col("_seq").alias("_last_seq"),
-        *([F.when(up, F.col("after")).alias("_first_img")] if spec.sticky_columns else []),
+        *([F.when(up, F.col("_image")).alias("_first_img")] if spec.sticky_columns else []),
     )
 
 

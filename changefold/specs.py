@@ -111,6 +111,14 @@ class TableSpec:
     def envelope(self) -> T.StructType:
         return envelope_schema(self.row_schema)
 
+    @property
+    def image_schema(self) -> T.StructType:
+        """The part of a row image that folded states carry: what silver columns are made of.  The key is a column of
+        its own, and the other audit fields reach no silver row."""
+        used = {c.source for c in self.columns} | {"updated_at", *([self.cluster_field] if self.cluster_field else [])}
+        kept = [f for f in self.row_schema.fields if f.name in used and f.name != self.key]
+        return T.StructType(kept or [self.row_schema[self.key]])
+
     def has_field(self, name: str) -> bool:
         return name in self.row_schema.fieldNames()
 

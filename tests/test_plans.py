@@ -79,3 +79,15 @@ def test_each_message_is_parsed_once(spark):
     b = ingest.bronze(ingest.classify(msgs, EV))
     opt = plan(b, "extended").split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
     assert opt.count("from_json(") == 1
+
+
+def test_states_carry_only_what_silver_needs(spark, tmp_base):
+    """Audit fields that reach no silver row, and the key a second time, are neither read nor shuffled."""
+    ingest.bronze(ingest.classify(fixtures.to_messages(fixtures.table_changes(spark, SF0001, specs.ORDERS)), specs.ORDERS)) \
+        .write.parquet(f"{tmp_base}/bronze")
+    bronze = spark.read.parquet(f"{tmp_base}/bronze")
+    states = fold.event_states(fold.changes(bronze, specs.ORDERS), specs.ORDERS)
+    assert states.schema["_up_img"].dataType.fieldNames() == ["order_date", "delivery_date", "customer_id", "status", "updated_at"]
+    p = plan(fold.current_state(bronze, specs.ORDERS))
+    read = next(line for line in p.splitlines() if "ReadSchema" in line)
+    assert "updated_by" not in read and "created_by" not in read and "before:struct<order_id:bigint>" in read

@@ -310,3 +310,15 @@ def test_compaction_purges_old_soft_deletes(spark, tmp_base):
     purged = {k for k, v in ms.items() if v < cutoff}
     assert purged and not (purged & after)
     assert after == {r.user_id for r in before} - purged
+
+
+def test_compactions_of_the_stream_purge(spark, tmp_base):
+    """With ``purge_deleted_after_days`` the stream's own compactions drop keys that were deleted long ago."""
+    cfg = _cfg(tmp_base, compact_every=2, purge_deleted_after_days=1)
+    _write_messages(spark, cfg.message_path)
+    jobs.run_once(spark, cfg, EV)
+    base, newer, version = jobs.silver_parts(spark, cfg, EV)
+    assert version is not None and base.filter("_last_op = 'd'").isEmpty() and not base.isEmpty()
+    kept = {r.user_id for r in jobs.read_silver(spark, cfg, EV).collect()}
+    batch = fold.current_state(ingest.bronze(ingest.classify(fixtures.user_event_messages(spark, SF0001), EV)), EV)
+    assert {r.user_id for r in batch.filter("NOT _deleted").collect()} <= kept
