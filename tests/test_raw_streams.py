@@ -9,6 +9,7 @@ from changefold.streaming import jobs
 from changefold.streaming.config import StreamConfig
 
 from conftest import SF0001
+from helpers import envelope, messages
 
 EV = specs.USER_EVENTS
 
@@ -97,3 +98,45 @@ def test_broker_options():
         "maxOffsetsPerTrigger": "500", "minPartitions": "6"}
     plain = jobs.kafka_options(StreamConfig(base_path="/x", kafka_bootstrap_servers="b"), {"subscribe": "t"}, 5)
     assert plain["failOnDataLoss"] == "false" and "minPartitions" not in plain
+
+
+def _mixed(spark):
+    """Good, damaged and null messages of two tables and one of no table."""
+    good = messages(spark, [(envelope("c", key=k, ts=k), k) for k in range(4)] + [("{", 4), (None, 5), ("", 6)])
+    other = messages(spark, [(envelope("c", key=1), 1), ("[", 2)], topic=specs.ORDERS.topic)
+    return good.unionByName(other).unionByName(messages(spark, [("x", 1)], topic="finance_db.operations.none")) \
+        .drop("_batch_id")
+
+
+def _no_persist(monkeypatch, batch):
+    def refuse(*_):
+        raise AssertionError("a batch of message files was kept in memory")
+    monkeypatch.setattr(type(batch), "persist", refuse)
+
+
+def test_raw_batch_of_files_keeps_no_parsed_rows(spark, tmp_base, monkeypatch):
+    batch = _mixed(spark).filter(F.col("topic") == specs.USER_EVENTS.topic)
+    cfg = _cfg(tmp_base)
+    _no_persist(monkeypatch, batch)
+    found = jobs.process_raw_batch(batch, 0, specs.USER_EVENTS, cfg)
+    assert (found["messages"], found["valid"], found["null_messages"], found["dead_letter"]) == (7, 4, 1, 2)
+    assert sorted(r.offset for r in spark.read.parquet(cfg.bronze_path("user_events")).collect()) == [0, 1, 2, 3]
+    assert sorted(r.offset for r in spark.read.parquet(cfg.dead_letter_path("user_events")).collect()) == [4, 6]
+
+
+def test_fanout_batch_of_files_keeps_no_messages(spark, tmp_base, monkeypatch):
+    batch, cfg = _mixed(spark), _cfg(tmp_base, raw_fanout=True)
+    _no_persist(monkeypatch, batch)
+    found = jobs.process_fanout_batch(batch, 0, ("user_events", "orders"), cfg)
+    assert {t: found[t]["dead_letter"] for t in found} == {"user_events": 2, "orders": 2, "_unknown": 1}
+    assert spark.read.parquet(cfg.bronze_path("user_events")).count() == 4
+
+
+def test_broker_batch_is_read_once(spark, tmp_base):
+    """Messages of a broker may be gone at a second read, so they are kept while both logs are written."""
+    cfg = StreamConfig(base_path=tmp_base, kafka_bootstrap_servers="none:1")
+    with jobs.read_again(_mixed(spark), cfg) as kept:
+        assert kept.is_cached
+    assert not kept.is_cached
+    with jobs.read_again(_mixed(spark), _cfg(tmp_base, dedup_horizon="1 day")) as kept:
+        assert kept.is_cached
