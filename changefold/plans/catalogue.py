@@ -308,6 +308,19 @@ def q_compact_zordered(spark, sf_dir):
 
 # --- the same fold under Structured Streaming --------------------------------
 
+def arrivals(spark, msgs, path, rounds):
+    """Messages written to ``path`` as they come and read back in rounds of about equal size, by rising offset (null
+    first).  Only the offsets are looked at to find the bounds, so the work of a task does not depend on the number of
+    rounds."""
+    msgs.write.parquet(path)
+    staged = spark.read.parquet(path)
+    cuts = staged.agg(F.percentile_approx("offset", [i / rounds for i in range(1, rounds)])).first()[0] or []
+    place = F.lit(0)
+    for cut in cuts:
+        place += F.coalesce((F.col("offset") > cut).cast("int"), F.lit(0))
+    return [staged.filter(place == i) for i in range(rounds)]
+
+
 @query("cdc_state_stream")
 def q_cdc_state_stream(spark, sf_dir):
     """events as broker messages in files -> raw stream -> bronze -> silver
@@ -326,7 +339,7 @@ def q_cdc_state_stream(spark, sf_dir):
 
 @query("orders_state_stateful_stream")
 def q_orders_state_stateful_stream(spark, sf_dir):
-    """Order lifecycles as messages (newest first, 4 files) -> raw stream ->
+    """Order lifecycles as messages (newest first, 4 rounds) -> raw stream ->
     silver as a stateful streaming aggregation (state store, update mode)
     -> silver orders."""
     from changefold.streaming import jobs
@@ -335,15 +348,13 @@ def q_orders_state_stateful_stream(spark, sf_dir):
     base = fresh_dir(spark, "stream-stateful")
     # The default state store: a registered query leaves the session's
     # state-store setting alone.
-    cfg = StreamConfig(base_path=base, message_path=f"{base}/messages", available_now=True,
-                       message_files_per_trigger=1, state_store="default")
-    msgs = fixtures.to_messages(fixtures.order_lifecycle_changes(spark, sf_dir))
-    store.write_messages(msgs.repartitionByRange(4, "_batch_id", "offset").drop("_batch_id"), cfg.message_path)
-    for start in (jobs.start_raw, jobs.start_silver_stateful):
-        q = start(spark, cfg, specs.ORDERS)
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(f"{q.name} failed: {q.exception()}")
+    cfg = StreamConfig(base_path=base, message_path=f"{base}/messages", available_now=True, state_store="default")
+    msgs = fixtures.to_messages(fixtures.order_lifecycle_changes(spark, sf_dir)).drop("_batch_id")
+    # Offsets rise from the newest stage to the oldest.
+    for arrived in arrivals(spark, msgs, f"{base}/arrivals", 4):
+        store.write_messages(arrived, cfg.message_path)
+        drained(jobs.start_raw(spark, cfg, specs.ORDERS))
+    drained(jobs.start_silver_stateful(spark, cfg, specs.ORDERS))
     s = jobs.read_silver(spark, cfg, specs.ORDERS)
     return s.select("order_id", "order_date", "delivery_date", "customer_id", "status",
                     convert.timestamp_to_epoch_ms(F.col("updated_at")).alias("updated_at_ms"),
@@ -363,12 +374,8 @@ def q_open_orders_stream(spark, sf_dir):
     snaps = fixtures.to_messages(fixtures.snapshot_changes(fixtures.order_rows(spark, sf_dir), specs.ORDERS)) \
         .unionByName(fixtures.to_messages(
             fixtures.snapshot_changes(fixtures.order_item_rows(spark, sf_dir), specs.ORDER_ITEMS)))
-    staging = f"{base}/arrivals"
-    (snaps.drop("_batch_id").repartitionByRange(2, "offset")
-     .withColumn("_round", F.spark_partition_id()).write.partitionBy("_round").parquet(staging))
-    for arrival in range(2):
-        store.write_messages(spark.read.parquet(staging).filter(F.col("_round") == arrival).drop("_round"),
-                             cfg.message_path)
+    for arrived in arrivals(spark, snaps.drop("_batch_id"), f"{base}/arrivals", 2):
+        store.write_messages(arrived, cfg.message_path)
         for spec in (specs.ORDERS, specs.ORDER_ITEMS):
             jobs.run_once(spark, cfg, spec)
         q = jobs.start_gold(spark, cfg)

@@ -91,3 +91,18 @@ def test_states_carry_only_what_silver_needs(spark, tmp_base):
     p = plan(fold.current_state(bronze, specs.ORDERS))
     read = next(line for line in p.splitlines() if "ReadSchema" in line)
     assert "updated_by" not in read and "created_by" not in read and "before:struct<order_id:bigint>" in read
+
+
+def test_rounds_of_arrivals_are_no_tasks(spark, tmp_base):
+    """Rounds split the messages by offset without bringing a round's messages into one task."""
+    from changefold.plans.catalogue import arrivals
+
+    msgs = spark.range(1, 4001, numPartitions=8).select(
+        F.when(F.col("id") % 400 != 0, F.col("id")).alias("offset"), F.lit("x").alias("value"))
+    found = [[r.offset for r in part.collect()] for part in arrivals(spark, msgs, f"{tmp_base}/arrivals", 4)]
+    assert len(spark.read.parquet(f"{tmp_base}/arrivals").inputFiles()) == 8
+    assert all(900 <= len(r) <= 1100 for r in found) and sum(map(len, found)) == 4000
+    assert sum(o is None for o in found[0]) == 10 and all(o is not None for r in found[1:] for o in r)
+    assert all(max(o or 0 for o in a) < min(b) for a, b in zip(found, found[1:]))
+    none = arrivals(spark, msgs.filter("offset < 0"), f"{tmp_base}/empty", 2)
+    assert [part.count() for part in none] == [0, 0]
