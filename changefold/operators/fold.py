@@ -77,9 +77,10 @@ def event_states(changes_df: DataFrame, spec: TableSpec, keep: tuple[str, ...] =
     )
 
 
-def merge_states(states: DataFrame, spec: TableSpec, by: tuple[str, ...] = ()) -> DataFrame:
+def merge_states(states: DataFrame, spec: TableSpec, by: tuple[str, ...] = (), key_first: bool = False) -> DataFrame:
     """Merge any number of partial states per key (``by`` adds grouping
-    columns, e.g. a batch id).
+    columns, e.g. a batch id; with ``key_first`` the rows come sorted by key,
+    so that merging them further by key alone sorts nothing again).
 
     Each state pair (value, seq) is merged as one ``max``/``min`` over
     ``struct(seq, value)``: structs compare field by field, so the seq
@@ -92,7 +93,8 @@ def merge_states(states: DataFrame, spec: TableSpec, by: tuple[str, ...] = ()) -
     up = F.when(F.col("_up_seq").isNotNull(), F.struct(F.col("_up_seq"), F.col("_up_img")))
     first = F.when(F.col("_first_seq").isNotNull(), F.struct(*first_fields))
     last = F.struct(F.col("_last_seq"), F.col("_last_op"))
-    merged = states.groupBy(*by, spec.key).agg(F.max(up).alias("_u"), F.min(first).alias("_f"),
+    group = (spec.key, *by) if key_first else (*by, spec.key)
+    merged = states.groupBy(*group).agg(F.max(up).alias("_u"), F.min(first).alias("_f"),
                                                 F.max(last).alias("_l"))
     cols = [F.col("_u._up_img").alias("_up_img"), F.col("_u._up_seq").alias("_up_seq"),
             F.col("_f._first_created").alias("_first_created"), F.col("_f._first_seq").alias("_first_seq"),
@@ -102,8 +104,8 @@ def merge_states(states: DataFrame, spec: TableSpec, by: tuple[str, ...] = ()) -
     return merged.select(*by, spec.key, *cols)
 
 
-def fold_changes(changes_df: DataFrame, spec: TableSpec, by: tuple[str, ...] = ()) -> DataFrame:
-    return merge_states(event_states(changes_df, spec, keep=by), spec, by)
+def fold_changes(changes_df: DataFrame, spec: TableSpec, by: tuple[str, ...] = (), key_first: bool = False) -> DataFrame:
+    return merge_states(event_states(changes_df, spec, keep=by), spec, by, key_first)
 
 
 def materialize(states: DataFrame, spec: TableSpec, keep_state: bool = False) -> DataFrame:
@@ -140,7 +142,7 @@ def current_state(bronze_df: DataFrame, spec: TableSpec) -> DataFrame:
 def incremental_state(bronze_df: DataFrame, spec: TableSpec, batch_col: str = "_batch_id") -> DataFrame:
     """Fold each micro-batch on its own, then merge the per-batch states;
     equal to ``current_state`` by construction."""
-    per_batch = fold_changes(changes(bronze_df, spec), spec, by=(batch_col,)).drop(batch_col)
+    per_batch = fold_changes(changes(bronze_df, spec), spec, by=(batch_col,), key_first=True).drop(batch_col)
     return materialize(merge_states(per_batch, spec), spec)
 
 

@@ -280,31 +280,46 @@ def table_rows(spark: SparkSession, sf_dir: str, spec: specs.TableSpec) -> DataF
 
 
 def table_changes(spark: SparkSession, sf_dir: str, spec: specs.TableSpec) -> DataFrame:
-    """The snapshot of a table (batch 0) and its later updates, deletes and re-inserts (batch = step), in one pass."""
-    rows = table_rows(spark, sf_dir, spec)
-    null = F.lit(None).cast(spec.row_schema)
-
-    def image(step: int, new: dict):
-        ts = F.lit(CHANGE_MS + step * CHANGE_STEP_MS).cast("long")
-        return F.struct(*[(new[f] if f in new else ts if f == "updated_at" and step else F.col(f)).alias(f)
-                          for f in spec.row_schema.fieldNames()]).cast(spec.row_schema)
-
-    events = [F.when(when, F.struct(
-        (null if op == "c" else image(0, {})).alias("before"), (null if op == "d" else image(step, new)).alias("after"),
-        F.lit(op).alias("op"), F.lit(step).alias("step"))) for when, step, op, new in _rules(spec)]
-    ev = rows.select(spec.key, F.explode(F.filter(F.array(*events), lambda e: e.isNotNull())).alias("e"))
-    ts = (F.lit(CHANGE_MS) + F.col("e.step") * F.lit(CHANGE_STEP_MS)).cast("long")
-    offset = F.col("e.step") * F.lit(10**12).cast("long") + F.col(spec.key)
-    later = ev.select(
-        "e.before", "e.after", "e.op", ts.alias("ts_ms"),
-        _source_block(spec, ts, offset, F.lit("false")).alias("source"),
+    """The snapshot of a table (batch 0) and its later updates, deletes and re-inserts (batch = step), in one pass: each
+    row once for the snapshot (event 0) and once for each rule it meets (event = place of the rule, from 1)."""
+    rules = list(enumerate(_rules(spec), 1))
+    met = F.array(F.lit(0), *[F.when(when, F.lit(i)) for i, (when, *_) in rules])
+    rows = table_rows(spark, sf_dir, spec).withColumn("_event", F.explode(met)).filter(F.col("_event").isNotNull())
+    event = F.col("_event")
+
+    def by_event(snapshot, of_rule):
+        value = F.when(event == 0, snapshot)
+        for i, rule in rules:
+            value = value.when(event == i, of_rule(*rule[1:]))
+        return value
+
+    def field(f: str):
+        changed = [(i, new[f]) for i, (_, _, _, new) in rules if f in new]
+        value = F.when(event > 0, ts) if f == "updated_at" else None
+        for i, new in changed:
+            value = (F if value is None else value).when(event == i, new)
+        return (F.col(f) if value is None else value.otherwise(F.col(f))).alias(f)
+
+    names = spec.row_schema.fieldNames()
+    key = F.col(spec.key)
+    step = by_event(F.lit(0), lambda step, op, new: F.lit(step))
+    op = by_event(F.lit("r"), lambda step, op, new: F.lit(op))
+    ts = F.when(event == 0, F.lit(0).cast("long")).otherwise(
+        (F.lit(CHANGE_MS) + step * F.lit(CHANGE_STEP_MS)).cast("long"))
+    offset = step * F.lit(10**12).cast("long") + key
+    before = F.struct(*[F.col(f) for f in names]).cast(spec.row_schema)
+    after = F.struct(*[field(f) for f in names]).cast(spec.row_schema)
+    return rows.select(
+        F.when(op.isin("u", "d"), before).alias("before"),
+        F.when(op != "d", after).alias("after"),
+        op.alias("op"), ts.alias("ts_ms"),
+        _source_block(spec, ts, offset, F.when(event == 0, F.lit("true")).otherwise(F.lit("false"))).alias("source"),
         F.lit(spec.topic).alias("topic"),
-        F.pmod(F.col(spec.key), F.lit(TOPIC_PARTITIONS)).cast("int").alias("partition"),
+        F.pmod(key, F.lit(TOPIC_PARTITIONS)).cast("int").alias("partition"),
         offset.alias("offset"),
         F.timestamp_millis(ts).alias("timestamp"),
-        F.col("e.step").cast("long").alias("_batch_id"),
+        step.cast("long").alias("_batch_id"),
     )
-    return snapshot_changes(rows, spec).unionByName(later)
 
 
 def product_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -106,3 +106,17 @@ def test_rounds_of_arrivals_are_no_tasks(spark, tmp_base):
     assert all(max(o or 0 for o in a) < min(b) for a, b in zip(found, found[1:]))
     none = arrivals(spark, msgs.filter("offset < 0"), f"{tmp_base}/empty", 2)
     assert [part.count() for part in none] == [0, 0]
+
+
+def test_table_changes_rank_lines_once(spark):
+    p = plan(fixtures.table_changes(spark, SF0001, specs.ORDER_ITEMS), "simple")
+    assert p.count("Window [") == 1 and p.count("Exchange ") == 1
+
+
+def test_batch_states_merge_without_another_sort(spark, tmp_base):
+    """Batch states come sorted by key, so their merge sorts only after its shuffle."""
+    spec = specs.ORDER_ITEMS
+    ingest.bronze(ingest.classify(fixtures.to_messages(fixtures.table_changes(spark, SF0001, spec)), spec)) \
+        .write.parquet(f"{tmp_base}/bronze")
+    p = plan(fold.incremental_state(spark.read.parquet(f"{tmp_base}/bronze"), spec), "simple")
+    assert p.count("SortAggregate(") == 4 and p.count("Sort [") == 3
