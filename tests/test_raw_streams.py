@@ -140,3 +140,22 @@ def test_broker_batch_is_read_once(spark, tmp_base):
     assert not kept.is_cached
     with jobs.read_again(_mixed(spark), _cfg(tmp_base, dedup_horizon="1 day")) as kept:
         assert kept.is_cached
+
+
+def test_a_table_of_the_fanout_reads_its_own_files(spark, tmp_base):
+    """Topics are folders: the rows of one topic come from its files alone, and all topics are there."""
+    cfg = _cfg(tmp_base, raw_fanout=True)
+    store.write_messages(_mixed(spark), cfg.message_path)
+    found = {}
+
+    def look(batch, _):
+        messages = jobs.by_topic(batch, cfg)
+        of = messages.filter(F.col("topic") == specs.ORDERS.topic)
+        plan = spark._jvm.PythonSQLUtils.explainString(of._jdf.queryExecution(), "formatted")
+        found.update(columns=messages.columns, rows=messages.count(), orders=of.count(),
+                     pruned="PartitionFilters: [isnotnull(topic" in plan)
+
+    _drain(jobs.all_messages(spark, cfg, ("user_events", "orders")).writeStream.foreachBatch(look)
+           .option("checkpointLocation", f"{tmp_base}/c").trigger(availableNow=True).start())
+    assert sorted(found.pop("columns")) == sorted(f.name for f in jobs.FILE_MESSAGE_SCHEMA.fields)
+    assert found == {"rows": 10, "orders": 2, "pruned": True}
