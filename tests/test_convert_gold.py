@@ -144,3 +144,12 @@ def test_decimal_wire_forms_round_trip(spark, unscaled):
                     convert.wire_decimal(convert.decimal_to_wire_object(F.col("d"))).alias("obj"),
                     convert.wire_decimal(F.col("d").cast("string")).alias("txt")).collect()
     assert all(r.obj == r.d == r.txt for r in out)
+
+
+def test_positive_amounts_whose_bytes_begin_with_ff(spark):
+    """65424 is FF90 and 4286578688 is FF800000: leading FFs are the sign of negative amounts alone."""
+    import decimal
+    vals = [decimal.Decimal(u).scaleb(-2) for u in (65424, 4_286_578_688, 255, 65_535, -128, -256, -1, 0)]
+    df = spark.createDataFrame([(v,) for v in vals], "d decimal(10,2)")
+    out = df.select("d", convert.wire_decimal(convert.decimal_to_wire_object(F.col("d"))).alias("obj")).collect()
+    assert [r.obj for r in out] == vals
