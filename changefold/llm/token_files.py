@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,64 +30,175 @@ from . import common
 
 MAGIC = b"VTOK1"
 END_ID = 1
-#: Words, and pieces of words, whose ids a worker process remembers in each of two generations.
-REMEMBERED = 250_000
+#: About so many bytes of pieces and words, with their ids, stay in a worker process in each of two generations.
+REMEMBERED_BYTES = 32 << 20
+#: What an entry of a dictionary takes besides its bytes; pieces and words over so many bytes are not remembered.
+ENTRY_BYTES, LONG = 200, 200
 # White space of the tokenizer's own pattern; pieces between never merge across it.
 SPACE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
-#: Words of these characters alone are the same in every normal form and change case letter by letter.
-PLAIN = re.compile(r"[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
-PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\s0-9a-z\xdf-\xf6\xf8-\xff]+")
+# Classes of bytes. Words of letters (ASCII, and those of two bytes from C3 80 on), digits and signs alone are the same
+# in every normal form and change case letter by letter; words with other bytes go to the library whole.
+_BLANK, _LETTER, _DIGIT, _SIGN, _ODD = range(5)
+_CLASS = np.full(256, _ODD, np.uint8)
+_CLASS[33:127] = _SIGN
+_CLASS[[*range(65, 91), *range(97, 123)]] = _LETTER
+_CLASS[48:58] = _DIGIT
+_CLASS[[9, 10, 11, 12, 13, 32]] = _BLANK
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+class Remembered:
+    """Ids of pieces or words in two generations: the younger one becomes the older when it is full, and frequent
+    entries soon come back from there."""
+
+    def __init__(self):
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.room = REMEMBERED_BYTES
+
+    def all(self, keys: list[bytes], find) -> list[bytes]:
+        """The ids of each key; `find` gives those that are not remembered."""
+        found = list(map(self.young.get, keys))
+        if None in found:
+            missing = list(dict.fromkeys(k for k, ids in zip(keys, found, strict=True) if ids is None))
+            met = {k: find(k) if ids is None else ids for k, ids in zip(missing, map(self.old.get, missing), strict=True)}
+            found = [met[k] if ids is None else ids for k, ids in zip(keys, found, strict=True)]
+            if max(map(len, missing)) > LONG:
+                met = {k: ids for k, ids in met.items() if len(k) <= LONG}
+            self.young.update(met)
+            self.room -= sum(map(len, met)) + sum(map(len, met.values())) + ENTRY_BYTES * len(met)
+            if self.room < 0:
+                self.young, self.old, self.room = {}, self.young, REMEMBERED_BYTES
+        return found
 
 
 class WordCodec:
-    """Encodes with the tokenizers library, a word at a time, remembering what it has seen: the tokenizer splits at
-    white space first, so the ids of a text are those of its words in a row."""
+    """Encodes with the tokenizers library, a piece of a word at a time, remembering what it has seen: the tokenizer
+    splits at white space, then into pieces, so the ids of a text are those of its pieces in a row."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model, self.byte_level = self.tokenizer.model, ByteLevel(add_prefix_space=False, use_regex=False)
+        self.model, byte_level = self.tokenizer.model, ByteLevel(add_prefix_space=False, use_regex=False)
         self.size = self.tokenizer.get_vocab_size()
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.older_pieces: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        self.letters = {c: self.byte_level.pre_tokenize_str(c)[0][0] for c in map(chr, [*range(33, 127), *range(0xC0, 0x100)])}
+        self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.pieces, self.words = Remembered(), Remembered()
+        self.letters = {c: byte_level.pre_tokenize_str(c)[0][0] for c in map(chr, [*range(33, 127), *range(0xC0, 0x100)])}
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        words = self.words
-        # str.split knows the same white space, and four separators that the tokenizer takes for signs.
-        odd = "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text
-        chunks = [w for w in SPACE.split(text) if w] if odd else text.split()
-        try:
-            return b"".join([words[w] for w in chunks])
-        except KeyError:
-            for w in chunks:
-                if w not in words:
-                    words[w] = self.older.get(w) or self._word(w)
-            out = b"".join([words[w] for w in chunks])
-            if len(words) > REMEMBERED:  # frequent words soon come back from the older half
-                self.words, self.older = {}, words
-            return out
-
-    def _word(self, word: str) -> bytes:
-        if not PLAIN.fullmatch(word) or any(a in word for a in self.added):
-            return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join([self.pieces.get(p) or self._piece(p) for p in PIECE.findall(word.lower())])
-
-    def _piece(self, piece: str) -> bytes:
+        """Ids of one text as little-endian unsigned 32-bit integers."""
+        data = np.frombuffer(text.encode(), np.uint8)
+        return self.texts(data, np.array([0, len(data)]))[0].astype("<u4").tobytes()
+
+    def texts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text's begin, with one more place for the end.  Works on
+        blocks of about SLICE_BYTES; a longer text is cut at white space."""
+        cuts = offsets
+        if (np.diff(offsets) > common.SLICE_BYTES).any():
+            blank = np.flatnonzero(_CLASS[data] == _BLANK)
+            at = np.searchsorted(blank, np.arange(common.SLICE_BYTES, len(data), common.SLICE_BYTES))
+            cuts = np.sort(np.concatenate([offsets, blank[np.unique(at[at < len(blank)])]]))
+        first = np.flatnonzero(np.diff(cuts[:-1] // common.SLICE_BYTES, prepend=-1)).tolist()
+        parts, n = [], [np.zeros(1, np.int64)]
+        for a, b in zip(first, [*first[1:], len(cuts) - 1], strict=False):
+            ids, ends = self._block(data[cuts[a] : cuts[b]], cuts[a : b + 1] - cuts[a])
+            parts.append(ids)
+            n.append(ends[1:] + n[-1][-1])
+        starts = np.concatenate(n)
+        if cuts is not offsets:
+            starts = starts[np.searchsorted(cuts, offsets, "right") - 1]
+        return np.concatenate(parts) if parts else np.zeros(0, self.kind), starts
+
+    def _block(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = len(data)
+        low = np.zeros(size + 4, np.uint8)  # the margin is blank, so what looks ahead stays inside
+        low[:size] = _LOWER[data]
+        kind = np.zeros(size + 4, np.uint8)
+        kind[:size] = _CLASS[data]
+        wide = np.flatnonzero(data == 0xC3)
+        after = low[wide + 1]
+        letter = (after >= 0x80) & (after != 0x97) & (after != 0xB7)  # the signs of multiplication and division
+        wide, after = wide[letter], after[letter]
+        kind[wide] = kind[wide + 1] = _LETTER
+        low[wide[after < 0x9F] + 1] += 0x20
+
+        fresh = np.zeros(size + 4, bool)  # a text begins
+        fresh[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+        inside = kind != _BLANK
+        start = np.empty(size + 4, bool)
+        start[0] = True
+        np.not_equal(kind[1:], kind[:-1], out=start[1:])
+        start |= fresh
+        start |= kind == _DIGIT
+        start &= inside
+        # 's 't 'm 'd 're 've 'll are pieces, where the apostrophe begins one and a letter follows.
+        quote = np.flatnonzero((low == 0x27) & start)
+        quote = quote[(kind[quote + 1] == _LETTER) & ~fresh[quote + 1]]
+        one, two = low[quote + 1], low[quote + 2]
+        short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+        pair = (((one == 0x72) | (one == 0x76)) & (two == 0x65) | (one == 0x6C) & (two == 0x6C)) & ~fresh[quote + 2]
+        for at, n in ((quote[short], 1), (quote[pair], 2)):
+            start[at + 1] = False
+            start[at + n + 1] |= inside[at + n + 1]
+
+        # Words that go to the library whole: with odd bytes or added tokens.
+        odd = [np.flatnonzero(kind == _ODD)]
+        raw = data.tobytes()
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                odd.append(np.arange(at, at + len(token)))
+                at = raw.find(token, at + 1)
+        odd = np.concatenate(odd)
+        odd = odd[inside[odd]]
+        odd_words = np.zeros(0, np.int64)
+        if len(odd):
+            begins = inside & fresh
+            begins[1:] |= inside[1:] & ~inside[:-1]
+            begins[0] |= inside[0]
+            begin = np.flatnonzero(begins)
+            odd_words = np.unique(np.searchsorted(begin, odd, "right") - 1)
+            end = np.append(begin[1:], size)
+            step = np.zeros(size + 5, np.int8)
+            np.add.at(step, begin[odd_words], 1)
+            np.add.at(step, end[odd_words], -1)
+            whole = np.cumsum(step[:-1], dtype=np.int8).astype(bool)
+            inside &= ~whole
+            start &= ~whole
+            odd_words, odd_ends = begin[odd_words], end[odd_words]
+
+        at = np.flatnonzero(start)
+        ends = np.append(np.flatnonzero(start[inside]), np.count_nonzero(inside)).astype(np.int32)
+        coded = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(low[inside])]).dictionary_encode()
+        found = self.pieces.all(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self._piece)
+        codes = coded.indices.to_numpy()
+        if len(odd_words):
+            places = np.searchsorted(at, odd_words)
+            codes = np.insert(codes, places, np.arange(len(found), len(found) + len(odd_words), dtype=np.int32))
+            at = np.insert(at, places, odd_words)
+            found += self.words.all([data[a:b].tobytes().strip() for a, b in zip(odd_words.tolist(), odd_ends.tolist(), strict=True)], self._word)
+
+        ids = np.frombuffer(b"".join(found), self.kind)
+        size_of = np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
+        n = size_of[codes]
+        before = np.cumsum(n) - n
+        total = int(n.sum())
+        where = np.repeat((np.cumsum(size_of) - size_of)[codes] - before, n) + np.arange(total)
+        return ids[where], np.append(before, total)[np.searchsorted(at, offsets)]
+
+    def _word(self, word: bytes) -> bytes:
+        return np.array([i for w in SPACE.split(word.decode()) if w for i in self.tokenizer.encode(w, add_special_tokens=False).ids], self.kind).tobytes()
+
+    def _piece(self, piece: bytes) -> bytes:
         """A piece goes straight to the library's merge model; the steps before it do not change plain words."""
-        ids = self.older_pieces.get(piece)
-        if ids is None:
-            ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize("".join(map(self.letters.__getitem__, piece)))])
-        if len(self.pieces) > REMEMBERED:
-            self.pieces, self.older_pieces = {}, self.pieces
-        self.pieces[piece] = ids
-        return ids
+        text = piece.decode()
+        if not text.isascii():
+            text = "".join(map(self.letters.__getitem__, text))
+        return array(self.kind.char, [t.id for t in self.model.tokenize(text)]).tobytes()
 
 
 _CODECS: dict[str, WordCodec] = {}
@@ -130,10 +242,10 @@ def encoded(df: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
 
     def rows(part):
         c = codec(vocabulary)
-        narrow = c.size <= 1 << 16
-        end = np.array([END_ID], "<u4").tobytes()
-        ids = [c.encode(t) + end for t in part.column(text).to_pylist()]
-        return {doc_id: part.column(doc_id), "ids": [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids] if narrow else ids}
+        ids, starts = c.texts(*common.byte_texts(part.column(text)))
+        ids = np.insert(ids, starts[1:], END_ID)
+        places = (starts + np.arange(len(starts))) * c.kind.itemsize
+        return {doc_id: part.column(doc_id), "ids": pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(places.astype(np.int32)), pa.py_buffer(ids)])}
 
     kind = df.schema[doc_id].dataType.simpleString()
     return common.map_slices(common.texts(df, doc_id, text=text), rows, f"{doc_id} {kind}, ids binary", text)
