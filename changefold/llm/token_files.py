@@ -217,8 +217,9 @@ def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     padded = np.zeros(-(-len(v) // 4) * 4, np.uint8)
     padded[: len(v)] = extra
     control = padded[0::4] | padded[1::4] << 2 | padded[2::4] << 4 | padded[3::4] << 6
-    keep = np.arange(4) <= extra[:, None]
-    return control.tobytes(), v.view(np.uint8).reshape(-1, 4)[keep].tobytes()
+    widest = 1 + int(extra.max(initial=0))
+    keep = np.arange(widest, dtype=np.uint8) <= extra[:, None]
+    return control.tobytes(), v.view(np.uint8).reshape(-1, 4)[:, :widest][keep].tobytes()
 
 
 # Of each control byte the four lengths, by table.
@@ -227,13 +228,13 @@ _MASK = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
 
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
-    """The values again: lengths by table lookup, then one gather of four bytes at each value's place."""
+    """The values again: lengths by table lookup, then a gather at each value's place for each byte of the longest."""
     lengths = _LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:n]
     at = np.cumsum(lengths, dtype=np.int64) - lengths
     raw = np.frombuffer(data + b"\0\0\0", np.uint8)
     words = np.zeros(n, np.uint32)
-    for k in range(4):
-        words |= raw[at + k].astype(np.uint32) << np.uint32(8 * k) if n else 0
+    for k in range(lengths.max(initial=0)):
+        words |= raw[at + k].astype(np.uint32) << np.uint32(8 * k)
     return words & _MASK[lengths]
 
 
