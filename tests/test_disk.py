@@ -47,7 +47,7 @@ def _streamed(spark, base, **kw):
     return cfg
 
 
-@pytest.mark.parametrize("name", ["kpi_maintained"])
+@pytest.mark.parametrize("name", ["kpi_maintained", "open_orders_stream"])
 def test_no_message_is_kept_beside_the_logs(spark, tmp_base, monkeypatch, name):
     tables = _tables(spark, f"{tmp_base}/tables")
     monkeypatch.setattr("changefold.plans.catalogue.fresh_dir", lambda *_: f"{tmp_base}/run")
